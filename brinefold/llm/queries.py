@@ -7,20 +7,82 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import mixing, sharding, simhash, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Fixed values of the URL query: action, host, path.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(_table(spark, sf_dir, "documents").select("doc_id")).select("doc_id", "slot", "shard")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mixed.select("doc_id", "source", "mix_group", "mix_block", "mix_slot", "mix_position")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
+    "op2_url_filter": op2_url_filter,
     "op3_simhash": op3_simhash,
+    "op4_warc": op4_warc,
+    "op6_mixing": op6_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+def _sharding_sql() -> str:
+    """The filled table stands in the statement as two hex digits a slot; hashing and placement are SQL."""
+    owner = "".join(f"{i:02x}" for i in sharding.fill_table([f"shard-{i}" for i in range(sharding.SHARDS)]))
+    return f"""
+        WITH s AS (SELECT doc_id, ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT % {sharding.TABLE_SIZE} AS slot FROM documents)
+        SELECT doc_id, slot, ('0x' || substr('{owner}', CAST(slot * 2 + 1 AS INTEGER), 2))::INTEGER AS shard FROM s
+    """
+
+
+_URL_SQL = r"""
+    WITH rules(action, host, path) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+    rest AS (SELECT page_id, CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN '' ELSE substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+    raw AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM rest),
+    parts AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM raw),
+    hits AS (
+        SELECT p.page_id, r.host || r.path AS rule, r.action, row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS n
+        FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    )
+    SELECT p.page_id, p.host, p.path, h.rule, coalesce(h.action, 'allow') AS verdict
+    FROM parts p LEFT JOIN hits h ON h.page_id = p.page_id AND h.n = 1
+"""
+
+_WARC_SQL = """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+    d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS d FROM p),
+    m AS (SELECT *, max(page_id) OVER (PARTITION BY d) AS f FROM d)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+        CASE WHEN n >= 1000 AND f <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN n >= 1000 AND f <> page_id THEN f END AS refers_to
+    FROM m
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_sharding": _sharding_sql(),
+    "op2_url_filter": _URL_SQL,
+    "op4_warc": _WARC_SQL,
+}
