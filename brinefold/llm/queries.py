@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, simhash, url_filter, warc
+from . import decontamination, mixing, sharding, simhash, tokens, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,17 +37,29 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "matches", "window", "n_hits")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"))
     return mixed.select("doc_id", "source", "mix_group", "mix_block", "mix_slot", "mix_position")
 
 
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokens.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", "over_limit", "cut_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filter": op2_url_filter,
     "op3_simhash": op3_simhash,
     "op4_warc": op4_warc,
+    "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
+    "op7_tokens": op7_tokens,
 }
 
 def _sharding_sql() -> str:
