@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, sharding, simhash, tokens, url_filter, warc
+from . import ann, decontamination, language, licenses, mixing, sharding, simhash, tokens, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,24 @@ def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", "over_limit", "cut_chars")
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents and all pages, under the models of the documents' languages."""
+    docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
+    model = language.fit(docs)
+    facts = ("declared", "text_language", "language", F.round("posterior", 6).alias("posterior"), "accepted")
+    of_docs = language.identify(language.document_evidence(docs), model).select(F.col("key").alias("doc_id"), F.lit(None).cast("long").alias("page_id"), *facts)
+    return of_docs.union(language.identify(language.page_evidence(pages), model).select(F.lit(None).cast("long"), F.col("key"), *facts))
+
+
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_url_filter": op2_url_filter,
@@ -60,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
     "op7_tokens": op7_tokens,
+    "op8_licenses": op8_licenses,
+    "op9_language": op9_language,
+    "op10_ann": op10_ann,
 }
 
 def _sharding_sql() -> str:
