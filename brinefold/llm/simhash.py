@@ -15,6 +15,7 @@ table. Other columns of the input are never looked at.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,12 @@ BLOCK = 1 << 15
 #: Fingerprints in a unit before it is split further, and bits by which it is split.
 UNIT_CAP = 16_384
 SPLIT_BITS = 7
+#: Of deduplication by similarity: words of a shingle, fingerprints of 64 bits, anchors of a text, and rounds of leaders.
+SHINGLE_WORDS = 5
+SIMILARITY = 0.8
+LANES = 8
+ANCHORS = 8
+ROUNDS = 4
 
 
 def shingle_hashes(text: bytes | None, words: int) -> Iterator[np.ndarray]:
@@ -211,3 +218,60 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     roots = connected_components(trie_links(nodes, budget, unit_cap=unit_cap))
     named = nodes.join(roots, nodes.id == roots.node, "left").select("fp", F.coalesce("root", nodes.id).alias("component_id"))
     return marks.join(named, "fp", "left").select("id", "fp", "component_id")
+
+
+def bits_for(similarity: float, lanes: int = LANES) -> int:
+    """Bits by which the wide fingerprints of two shingle sets of that Jaccard similarity differ, and a deviation and a half more.
+
+    Sets of one size with similarity j have the cosine 2j / (1 + j); a bit differs with the probability angle / pi.
+    """
+    p = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    n = BITS * lanes
+    return math.floor(p * n + 1.5 * math.sqrt(n * p * (1 - p)))
+
+
+def leader_links(marks: DataFrame, similarity: float, *, lanes: int = LANES, rounds: int = ROUNDS) -> DataFrame:
+    """Links ``(a, b)`` between texts whose wide fingerprints say that they are ``similarity`` alike.
+
+    ``marks``: ``id``, distinct ``wide`` and ``anchors``, a text's smallest shingle hashes. Texts so alike
+    nearly surely share anchors. In each round the smallest id of an anchor's texts leads them, and
+    those alike to a leader are linked to it and leave; then the next leads. Rows grow with texts times
+    anchors whatever the groups' sizes, and a common passage or a mass of copies costs no more than other texts.
+    """
+    far = bits_for(similarity, lanes)
+    keys = marks.select("id", F.explode("anchors").alias("anchor"))
+    wide = marks.select("id", "wide")
+    found = None
+    for _ in range(rounds):
+        led = keys.groupBy("anchor").agg(F.min("id").alias("leader"), F.count("*").alias("size")).where("size > 1").drop("size")
+        followers = materialise(keys.join(led, "anchor"), "followers")
+        pairs = followers.where("id <> leader").select("id", "leader").distinct()
+        pairs = pairs.join(wide, "id").join(wide.select(F.col("id").alias("leader"), F.col("wide").alias("lead")), "leader")
+        apart = sum(F.bit_count(F.element_at("wide", i + 1).bitwiseXOR(F.element_at("lead", i + 1))) for i in range(lanes))
+        links = materialise(pairs.where(apart <= far).select(F.col("id").alias("a"), F.col("leader").alias("b")), "leader-links")
+        found = links if found is None else found.union(links)
+        keys = followers.where("id <> leader").select("id", "anchor").join(links.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
+        if keys.isEmpty():
+            break
+    return found
+
+
+def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, budget: int = 2) -> DataFrame:
+    """``docs`` with one document, that of the smallest id, of each group of near-duplicates.
+
+    Groups are connected by the trie join of fingerprints within ``budget`` bits, and by ``leader_links`` of
+    texts that differ in more of them and are still ``similarity`` alike. Rows without an id stay; of rows with the same id one stays.
+    """
+    marks = materialise(fingerprints(docs, id_col=id_col, text_col=text_col, words=words, lanes=LANES, anchors=ANCHORS).where("id is not null"), "marks")
+    texts = materialise(marks.groupBy("wide").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("anchors").alias("anchors")), "texts")
+    nodes = texts.groupBy("fp").agg(F.min("id").alias("id"))
+    same = texts.join(nodes.withColumnRenamed("id", "b"), "fp").select(F.col("id").alias("a"), "b")
+    links = trie_links(nodes, budget).union(same).union(leader_links(texts, similarity))
+    roots = connected_components(links)
+    kept = texts.join(roots, texts["id"] == roots["node"], "left").where("root is null or root = id").select("id")
+    gone = marks.select("id").distinct().join(kept, "id", "left_anti").withColumnRenamed("id", "__gone")
+    left = docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    if marks.groupBy("id").count().where("count > 1").isEmpty():
+        return left
+    named = left.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col])
+    return named.union(left.where(F.col(f"`{id_col}`").isNull()))
