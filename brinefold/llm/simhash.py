@@ -105,32 +105,36 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return source.mapInArrow(run, T.StructType(fields))
 
 
-def trie_pairs(keys: np.ndarray, bounds: np.ndarray, budget: int) -> np.ndarray:
+def trie_pairs(keys: np.ndarray, bounds: np.ndarray, budget: int, cross: np.ndarray | None = None) -> np.ndarray:
     """Index pairs of ``keys`` at most ``budget`` bits apart, within each unit ``bounds[u]:bounds[u + 1]``.
 
     Keys are unsigned, sorted and distinct within a unit. A trie node is a range of keys with a common
     prefix; the frontier is all pairs of nodes of one depth, whose differing bits are summed in ``err``.
+    ``cross[u]`` above 0 is where a unit's second side begins: its keys are then sorted by side, and only pairs from side to side are sought.
     """
     a_lo, a_hi = bounds[:-1].astype(np.int64), bounds[1:].astype(np.int64)
     live = a_hi - a_lo > 1
-    a_lo, a_hi = a_lo[live], a_hi[live]
-    b_lo, b_hi, err = a_lo, a_hi, np.zeros(len(a_lo), dtype=np.int64)
+    middle = np.zeros(len(a_lo), dtype=np.int64) if cross is None else cross.astype(np.int64)
+    a_lo, a_hi, middle = a_lo[live], a_hi[live], middle[live]
+    b_lo, b_hi, err = np.where(middle > 0, middle, a_lo), a_hi, np.zeros(len(a_lo), dtype=np.int64)
+    a_hi = np.where(middle > 0, middle, a_hi)
     found = []
-    for bit in range(BITS - 1, -1, -1):
+    for bit in range(BITS, -1, -1):
         if not len(a_lo):
             break
-        ones = np.concatenate([[0], np.cumsum((keys >> np.uint64(bit)) & np.uint64(1)).astype(np.int64)])
-        a_mid, b_mid = a_hi - (ones[a_hi] - ones[a_lo]), b_hi - (ones[b_hi] - ones[b_lo])
-        same = a_lo == b_lo
-        parts = [
-            (a_lo, a_mid, b_lo, b_mid, err),
-            (a_mid, a_hi, b_mid, b_hi, err),
-            (a_lo, a_mid, b_mid, b_hi, err + 1),
-            tuple(x[~same] for x in (a_mid, a_hi, b_lo, b_mid, err + 1)),
-        ]
-        a_lo, a_hi, b_lo, b_hi, err = (np.concatenate(x) for x in zip(*parts))
-        live = (a_hi > a_lo) & (b_hi > b_lo) & (err <= budget) & ~((a_lo == b_lo) & (a_hi - a_lo == 1))
-        a_lo, a_hi, b_lo, b_hi, err = a_lo[live], a_hi[live], b_lo[live], b_hi[live], err[live]
+        if bit < BITS:
+            ones = np.concatenate([[0], np.cumsum((keys >> np.uint64(bit)) & np.uint64(1)).astype(np.int64)])
+            a_mid, b_mid = a_hi - (ones[a_hi] - ones[a_lo]), b_hi - (ones[b_hi] - ones[b_lo])
+            same = a_lo == b_lo
+            parts = [
+                (a_lo, a_mid, b_lo, b_mid, err),
+                (a_mid, a_hi, b_mid, b_hi, err),
+                (a_lo, a_mid, b_mid, b_hi, err + 1),
+                tuple(x[~same] for x in (a_mid, a_hi, b_lo, b_mid, err + 1)),
+            ]
+            a_lo, a_hi, b_lo, b_hi, err = (np.concatenate(x) for x in zip(*parts))
+            live = (a_hi > a_lo) & (b_hi > b_lo) & (err <= budget) & ~((a_lo == b_lo) & (a_hi - a_lo == 1))
+            a_lo, a_hi, b_lo, b_hi, err = a_lo[live], a_hi[live], b_lo[live], b_hi[live], err[live]
         leaf = (a_hi - a_lo == 1) & (b_hi - b_lo == 1)
         if leaf.any():
             x, y = a_lo[leaf], b_lo[leaf]
@@ -166,18 +170,18 @@ def trie_links(nodes: DataFrame, budget: int, *, unit_cap: int = UNIT_CAP) -> Da
     """Links ``(a, b)`` that connect, directly or through others, all ``nodes`` (``id``, distinct ``fp``) within ``budget`` bits.
 
     Inside a unit the links found are reduced to one per node, to the smallest id that the unit's links
-    reach: no connection is lost and the output is never larger than the unit.
+    reach: no connection is lost and the output is never larger than the unit. A unit is one trie node with
+    itself (side 0), or two nodes (sides 1 and 2) whose paths differ in ``err`` bits so far.
     """
     rotations = [
         F.struct(
-            F.lit(n).alias("r"), F.lit(width).alias("depth"),
+            F.lit(width).alias("depth"), F.lit(0).alias("err"), F.lit(0).alias("side"),
             F.concat(F.lit(f"{n}:"), F.hex(F.shiftrightunsigned(_rotated(F.col("fp"), turn), BITS - width))).alias("unit"),
             _rotated(F.col("fp"), turn).alias("key"),
         )
         for n, (turn, width) in enumerate(_blocks(budget))
     ]
     keyed = nodes.where("id is not null").select("id", F.explode(F.array(*rotations)).alias("x")).select("id", "x.*")
-    out, schema = None, "a long, b long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,30 +189,35 @@ def trie_links(nodes: DataFrame, budget: int, *, unit_cap: int = UNIT_CAP) -> Da
                 lists = batch.column(0).slice(at, 512)
                 sizes = np.diff(lists.offsets.to_numpy())
                 flat = lists.flatten()
-                ids, keys = flat.field("id").to_numpy(), flat.field("key").to_numpy().view(np.uint64)
+                ids, keys, side = flat.field("id").to_numpy(), flat.field("key").to_numpy().view(np.uint64), flat.field("side").to_numpy()
                 unit = np.repeat(np.arange(len(sizes)), sizes)
-                order = np.lexsort((keys, unit))
-                ids, keys = ids[order], keys[order]
-                pairs = trie_pairs(keys, np.concatenate([[0], np.cumsum(sizes)]), budget)
+                order = np.lexsort((keys, side, unit))
+                ids, keys, bounds = ids[order], keys[order], np.concatenate([[0], np.cumsum(sizes)])
+                first = np.bincount(unit, side == 1, minlength=len(sizes)).astype(np.int64)
+                pairs = trie_pairs(keys, bounds, budget, np.where(first > 0, bounds[:-1] + first, 0))
                 root = _least_reachable(len(ids), pairs, ids)
                 linked = root != ids
                 yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(root[linked])], names=["a", "b"])
 
+    out = None
     while True:
-        sizes = keyed.groupBy("unit").agg(F.count("*").alias("size")).where("size > 1")
+        sizes = keyed.groupBy("unit").agg(F.count("*").alias("size"), F.min("side").alias("least"), F.max("side").alias("most"))
+        sizes = sizes.where("size > 1 and (most = 0 or least < most)").select("unit", "size")
         keyed = keyed.join(sizes, "unit")
-        units = keyed.where(F.col("size") <= unit_cap).groupBy("unit").agg(F.collect_list(F.struct("id", "key")).alias("items"))
-        links = materialise(units.select("items").mapInArrow(run, schema), "unit-links")
+        units = keyed.where(F.col("size") <= unit_cap).groupBy("unit").agg(F.collect_list(F.struct("id", "key", "side")).alias("items"))
+        links = materialise(units.select("items").mapInArrow(run, "a long, b long"), "unit-links")
         out = links if out is None else out.union(links)
         if sizes.where(F.col("size") > unit_cap).isEmpty():
             return out
-        sub = F.shiftrightunsigned(F.call_function("shiftleft", F.col("key"), F.col("depth")), BITS - SPLIT_BITS)
-        masks = [m for m in range(1 << SPLIT_BITS) if bin(m).count("1") <= budget]
-        other = F.explode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("m")
-        big = keyed.where((F.col("size") > unit_cap) & (F.col("depth") < BITS)).select("id", "r", "depth", "unit", "key", sub.alias("s"), other)
-        near = F.col("s").bitwiseXOR(F.col("m"))
-        pair = F.concat_ws(".", F.col("unit"), F.least("s", near), F.greatest("s", near))
-        keyed = materialise(big.select("id", "r", (F.col("depth") + SPLIT_BITS).alias("depth"), pair.alias("unit"), "key"), "units")
+        own = F.shiftrightunsigned(F.call_function("shiftleft", F.col("key"), F.col("depth")), BITS - SPLIT_BITS)
+        masks = F.array(*[F.lit(m).cast("long") for m in range(1 << SPLIT_BITS) if bin(m).count("1") <= budget])
+        big = keyed.where((F.col("size") > unit_cap) & (F.col("depth") < BITS)).select("*", own.alias("own"), F.explode(masks).alias("m"))
+        big = big.withColumn("err", F.col("err") + F.bit_count("m").cast("int")).where(F.col("err") <= budget).withColumn("other", F.col("own").bitwiseXOR(F.col("m")))
+        alone = (F.col("side") == 0) & (F.col("m") == 0)
+        side = F.when(alone, 0).when(F.col("side") > 0, F.col("side")).when(F.col("own") < F.col("other"), 1).otherwise(2)
+        big = big.withColumn("side", side)
+        name = F.concat_ws(".", "unit", F.when(F.col("side") == 2, F.col("other")).otherwise(F.col("own")), F.when(F.col("side") == 2, F.col("own")).otherwise(F.col("other")), F.when(alone, F.lit("=")).otherwise(F.lit("x")))
+        keyed = materialise(big.select("id", (F.col("depth") + SPLIT_BITS).alias("depth"), "err", "side", name.alias("unit"), "key"), "units")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, budget: int = 2, unit_cap: int = UNIT_CAP) -> DataFrame:
