@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +102,11 @@ def suffix_of(host: Column) -> Column:
     return F.when(found != "", found)
 
 
+def _shares(logs: np.ndarray) -> np.ndarray:
+    powers = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return powers / powers.sum(axis=1, keepdims=True)
+
+
 def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], *, host_weight: float = HOST_WEIGHT, accept: float = ACCEPT) -> DataFrame:
     """``rows`` has ``key``, ``text``, ``declared``, ``host``, ``suffix``.
 
@@ -110,74 +114,67 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], *, host_weigh
     """
     names, logs = model
     size = len(names)
+    start = np.array([math.log(NONE_PRIOR if n == NONE else (1 - NONE_PRIOR) / max(1, size - 1)) for n in names])
     table = rows.sparkSession.sparkContext.broadcast(np.ascontiguousarray(logs.T))  # languages x buckets, both bounded
     source = rows.select("key", F.col("text").cast("string"), primary(F.col("declared").cast("string")).alias("declared"), F.col("host").cast("string"), F.col("suffix").cast("string"))
-    fields = [source.schema["key"], *(T.StructField(c, T.StringType()) for c in ("declared", "host", "suffix")), T.StructField("n", T.LongType()), T.StructField("ll", T.ArrayType(T.DoubleType()))]
+    fields = [source.schema["key"], *(T.StructField(c, T.StringType()) for c in ("declared", "host", "suffix")), T.StructField("n", T.LongType()), *(T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("ll", "share"))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def likelihoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = table.value
         for batch in batches:
-            counts, sums = [], []
-            for text in batch.column(1):
-                data, own = letters(text.as_py()), np.zeros(size)
+            counts, sums = [], np.zeros((batch.num_rows, size))
+            for i, text in enumerate(batch.column(1)):
+                data = letters(text.as_py())
                 for part in trigrams(data):
-                    seen = np.bincount(part, minlength=BUCKETS) if len(part) > BUCKETS else None
-                    own += seen @ lookup if seen is not None else lookup[part].sum(axis=0)
+                    sums[i] += np.bincount(part, minlength=BUCKETS) @ lookup if len(part) > BUCKETS else lookup[part].sum(axis=0)
                 counts.append(len(data) - data.count(b" "))
-                sums.append(((own - own.max()) / TEMPERATURE).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), batch.column(4), pa.array(counts, pa.int64()), pa.array(sums, pa.list_(pa.float64()))], names=[f.name for f in fields])
-
-    scored = materialise(source.mapInArrow(run, T.StructType(fields)), "likelihoods")
-    each = range(size)
-    start = [math.log(NONE_PRIOR if n == NONE else (1 - NONE_PRIOR) / max(1, size - 1)) for n in names]
-
-    def shares(scores: list[Column]) -> list[Column]:
-        top = reduce(F.greatest, scores) if size > 1 else scores[0]
-        powers = [F.exp(s - top) for s in scores]
-        return [p / reduce(lambda a, b: a + b, powers) for p in powers]
+            sums = (sums - sums.max(axis=1, keepdims=True)) / TEMPERATURE
+            made = [pa.array(list(x), pa.list_(pa.float64())) for x in (sums, _shares(sums + start))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:5], pa.array(counts, pa.int64()), *made], names=[f.name for f in fields])
 
-    text_share = shares([F.element_at("ll", i + 1) + F.lit(start[i]) for i in each])
-    scored = scored.select("*", *[s.alias(f"p{i}") for i, s in enumerate(text_share)])
+    scored = materialise(source.mapInArrow(likelihoods, T.StructType(fields)), "likelihoods")
     lettered = scored.where("n > 0")
-    sums = [F.sum(f"p{i}").alias(f"s{i}") for i in each]
-    hosts = lettered.groupBy("host", "suffix").agg(F.count("*").alias("rows"), *sums)
-    hosts = materialise(hosts, "hosts")
-    suffixes = hosts.groupBy(F.col("suffix").alias("sx")).agg(F.sum("rows").alias("srows"), *[F.sum(f"s{i}").alias(f"t{i}") for i in each])
-    overall = hosts.agg(F.coalesce(F.sum("rows"), F.lit(0)), *[F.coalesce(F.sum(f"s{i}"), F.lit(0.0)) for i in each]).first()
-    base = [(overall[i + 1] + host_weight * math.exp(start[i])) / (overall[0] + host_weight) for i in each]
+    sums = lambda c: [F.sum(F.element_at(c, i + 1)).alias(f"s{i}") for i in range(size)]
+    packed = F.array(*[F.col(f"s{i}") for i in range(size)])
+    hosts = materialise(lettered.groupBy("host", "suffix").agg(F.count("*").alias("m"), *sums("share")).select("host", "suffix", "m", packed.alias("own")), "hosts")
+    suffixes = hosts.groupBy(F.col("suffix").alias("x")).agg(F.sum("m").alias("xm"), *sums("own")).select("x", "xm", packed.alias("above"))
+    overall = hosts.agg(F.sum("m").alias("m"), *sums("own")).first()
+    base = (np.array([overall[i + 1] or 0.0 for i in range(size)]) + host_weight * np.exp(start)) / ((overall["m"] or 0) + host_weight)
 
     # P(declared | language), for the languages of the model, "other" and none
     told = F.when(F.col("declared").isNull(), F.lit("")).when(F.col("declared").isin(names), F.col("declared")).otherwise(F.lit("other"))
-    reliable = {r[0]: r[1:] for r in lettered.groupBy(told.alias("told")).agg(*sums).collect()}
-    weight = 4.0
-    total = [sum(v[i] for v in reliable.values()) for i in each]
-    grand = sum(total) or 1.0
-    evidence = {k: [math.log((v[i] + weight * (sum(v) + 1) / (grand + len(reliable))) / (total[i] + weight)) for i in each] for k, v in reliable.items()}
-    declared_log = [reduce(lambda acc, kv: acc.when(told == kv[0], F.lit(kv[1][i])), evidence.items(), F.when(F.lit(False), F.lit(0.0))).otherwise(F.lit(0.0)) for i in each]
-
-    parents = hosts.join(suffixes, F.col("suffix").eqNullSafe(F.col("sx")), "left").select(F.col("host").alias("h"), F.col("suffix").alias("x"), "rows", "srows", *[f"s{i}" for i in each], *[f"t{i}" for i in each])
-    joined = scored.join(parents, F.col("host").eqNullSafe(F.col("h")) & F.col("suffix").eqNullSafe(F.col("x")), "left")
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
-    own = lambda i: F.when(F.col("n") > 0, F.col(f"p{i}")).otherwise(0.0)
-    one = F.when(F.col("n") > 0, 1.0).otherwise(0.0)
-    fused = []
-    for i in each:
-        above = (F.greatest(zero(f"t{i}") - own(i), F.lit(0.0)) + host_weight * base[i]) / (F.greatest(zero("srows") - one, F.lit(0.0)) + host_weight)
-        prior = (F.greatest(zero(f"s{i}") - own(i), F.lit(0.0)) + host_weight * above) / (F.greatest(zero("rows") - one, F.lit(0.0)) + host_weight)
-        fused.append(F.element_at("ll", i + 1) + F.log(prior) + declared_log[i])
-    joined = joined.select("key", "declared", "n", "ll", *[f"p{i}" for i in each], *[s.alias(f"q{i}") for i, s in enumerate(shares(fused))])
-
-    def best(prefix: str) -> tuple[Column, Column]:
-        top = reduce(F.greatest, [F.col(f"{prefix}{i}") for i in each]) if size > 1 else F.col(f"{prefix}0")
-        name = reduce(lambda acc, i: acc.when(F.col(f"{prefix}{i}") == top, F.lit(names[i])), each, F.when(F.lit(False), F.lit("")))
-        return name, top
-
-    lettered_only = F.col("n") > 0
-    text_name, _ = best("p")
-    name, top = best("q")
-    return joined.select(
-        "key", "declared", F.when(lettered_only, text_name).otherwise(F.lit(NONE)).alias("text_language"), F.when(lettered_only, name).otherwise(F.lit(NONE)).alias("language"), F.when(lettered_only, top).otherwise(F.lit(0.0)).alias("posterior")
-    ).withColumn("accepted", (F.col("language") != NONE) & (F.col("posterior") >= accept))
+    seen = {r[0]: np.array(r[1:]) for r in lettered.groupBy(told.alias("told")).agg(*sums("share")).collect()}  # a row for each language and two
+    weight, total = 4.0, sum(seen.values(), np.zeros(size))
+    reliable = {k: np.log((v + weight * (v.sum() + 1) / (total.sum() + len(seen))) / (total + weight)) for k, v in seen.items()}
+
+    parents = hosts.join(suffixes, F.col("suffix").eqNullSafe(F.col("x")), "left").select(F.col("host").alias("h"), F.col("suffix").alias("hx"), "m", "own", "xm", "above")
+    joined = scored.join(parents, F.col("host").eqNullSafe(F.col("h")) & F.col("suffix").eqNullSafe(F.col("hx")), "left")
+    joined = joined.select("key", "declared", "n", "ll", "share", told.alias("told"), "m", "own", "xm", "above")
+    result = T.StructType([joined.schema["key"], *(T.StructField(c, T.StringType()) for c in ("declared", "text_language", "language")), T.StructField("posterior", T.DoubleType()), T.StructField("accepted", T.BooleanType())])
+
+    def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word = np.array(names, dtype=object)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = dict(zip(batch.schema.names, batch.columns))
+            grid = lambda c: np.array([x if x is not None else [0.0] * size for x in columns[c].to_pylist()])
+            flat = lambda c: np.array([x or 0 for x in columns[c].to_pylist()], dtype=float)[:, None]
+            some = (flat("n") > 0).astype(float)
+            share = grid("share") * some
+            # the row's own share is no evidence for itself
+            above = (np.maximum(grid("above") - share, 0) + host_weight * base) / (np.maximum(flat("xm") - some, 0) + host_weight)
+            prior = (np.maximum(grid("own") - share, 0) + host_weight * above) / (np.maximum(flat("m") - some, 0) + host_weight)
+            said = np.array([reliable.get(t, np.zeros(size)) for t in columns["told"].to_pylist()])
+            fused = _shares(grid("ll") + np.log(prior) + said)
+            best, own, live = fused.argmax(axis=1), share.argmax(axis=1), some[:, 0] > 0
+            top = np.where(live, fused.max(axis=1), 0.0)
+            name = np.where(live, word[best], NONE)
+            yield pa.RecordBatch.from_arrays(
+                [columns["key"], columns["declared"], pa.array(np.where(live, word[own], NONE), pa.string()), pa.array(name, pa.string()), pa.array(top), pa.array((name != NONE) & (top >= accept), pa.bool_())], names=result.names
+            )
+
+    return joined.mapInArrow(fuse, result)
 
 
 def page_evidence(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -195,3 +192,11 @@ def document_evidence(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """The same of documents: the source is the host."""
     source = private(docs, key=id_col, text=text_col, declared=declared_col, host=source_col)
     return source.select("key", "text", "declared", "host", suffix_of(F.col("host").cast("string")).alias("suffix"))
+
+
+def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", **names: str) -> DataFrame:
+    """``docs`` without those whose language stays undetermined or unsure. Rows without an id stay."""
+    model = fit(docs, id_col=id_col)
+    judged = identify(document_evidence(docs, id_col=id_col, **names), model)
+    gone = judged.where(~F.col("accepted")).select(F.col("key").alias("__gone")).distinct()
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
