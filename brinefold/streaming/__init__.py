@@ -1,0 +1 @@
+"""No streaming operators are offered: the engine's tables are read and written in batches."""
