@@ -1,0 +1,81 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from brinefold.llm import language
+from brinefold.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def model(documents):
+    return language.fit(documents.where("doc_id % 2 = 0"))
+
+
+def test_held_out_accuracy_of_text_alone(documents, model):
+    held = documents.where("doc_id % 2 = 1").withColumn("declared", F.lit(None).cast("string")).withColumn("nowhere", F.lit(None).cast("string"))
+    got = language.identify(language.document_evidence(held, declared_col="declared", source_col="nowhere"), model)
+    rows = got.join(held, F.col("key") == F.col("doc_id")).select("lang", "language", "accepted").collect()
+    assert np.mean([r.lang == r.language for r in rows]) > 0.98
+    assert np.mean([r.accepted for r in rows]) > 0.99
+
+
+def test_fusion_helps_short_texts(spark, model):
+    rng = random.Random(0)
+    common = {"de": "der", "en": "the", "es": "los", "fr": "des"}
+    rows = [(len(common) * n + k, f"{word} x" if n % 5 else "q", lang if rng.random() < 0.8 else "en", f"www.{lang}site.{lang}") for n in range(100) for k, (lang, word) in enumerate(sorted(common.items()))]
+    truth = [lang for n in range(100) for lang in sorted(common)]
+    frame = spark.createDataFrame(rows, "key long, text string, declared string, host string").withColumn("suffix", language.suffix_of(F.col("host")))
+    got = sorted(language.identify(frame, model).collect(), key=lambda r: r.key)
+    text, fused = (np.mean([getattr(r, c) == t for r, t in zip(got, truth)]) for c in ("text_language", "language"))
+    assert fused > 0.95 > text
+
+
+def test_edge_cases(spark, model):
+    rows = [(1, None, "en", "h", None), (2, "", None, None, None), (3, "12345 !!!", "de", "h", "x"), (4, "the and of that with this", "EN-us", "h", "x"), (4, "the and of that with this", "", "h", "x"), (None, "der die und das mit", "tlh", None, None), (5, "the and " * 300_000, "en", "h", "x")]
+    frame = spark.createDataFrame(rows, "key long, text string, declared string, host string, suffix string").withColumn("language", F.lit("clash")).withColumn("n", F.lit(0))
+    got = language.identify(frame, model).collect()
+    assert sorted(((r.key, r.language, r.accepted, r.declared) for r in got), key=repr) == sorted([(1, "und", False, "en"), (2, "und", False, None), (3, "und", False, "de"), (4, "en", True, "en"), (4, "en", True, None), (None, "de", True, "tlh"), (5, "en", True, "en")], key=repr)
+    assert language.identify(frame.limit(0), model).count() == 0
+
+
+def test_junk_is_no_language(spark, model):
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice("bcdfghjklmnpqrstvwxzqxj") for _ in range(400)), None, None, None) for i in range(20)]
+    got = language.identify(spark.createDataFrame(rows, "key long, text string, declared string, host string, suffix string"), model).collect()
+    assert all(r.language == "und" and not r.accepted for r in got)
+
+
+def test_no_labelled_rows(spark):
+    docs = spark.createDataFrame([(1, "some text", None, "s")], "doc_id long, text string, lang string, source string")
+    names, logs = language.fit(docs)
+    assert names == ["und"] and logs.shape == (1, language.BUCKETS)
+    assert language.identify(language.document_evidence(docs), (names, logs)).first().accepted is False
+
+
+def test_page_evidence(spark):
+    html = '<!DOCTYPE html><html class=x lang="de-AT"><head><style>p{}</style><script>var t="</p>";</script></head><body><!-- c --><p>Hallo&amp;Welt</p></body></html>'
+    pages = spark.createDataFrame([(1, "http://U@www.Example.de:80/x", html), (2, None, None), (3, "nohost", "<html><body lang='fr'>x")], "page_id long, url string, html string")
+    rows = {r.key: r for r in language.page_evidence(pages).collect()}
+    assert rows[1].declared == "de-AT" and rows[1].host == "www.example.de:80" and rows[1].suffix == "de" and rows[1].text.split() == ["Hallo", "Welt"]
+    assert rows[2].text is None and rows[2].host is None and rows[3].declared == "" and rows[3].suffix is None
+
+
+def test_keeping_identified_documents(documents):
+    kept = language.keep_identified(documents)
+    assert kept.columns == documents.columns and kept.count() >= 0.99 * documents.count()
+
+
+def test_query(spark, documents):
+    got = QUERIES["op9_language"](spark, SF)
+    pages = spark.read.parquet(f"{SF}/pages.parquet").count()
+    assert got.where("doc_id is not null and page_id is null").count() == documents.count()
+    assert got.where("page_id is not null and doc_id is null").count() == pages
