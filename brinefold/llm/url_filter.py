@@ -52,7 +52,8 @@ def build(rules: Iterable[tuple[str, str, str]], default: str = "allow", digest=
     for action, host, path in rules:
         host = host.translate(_LOWER)
         key = f"{host}\0{path}".encode()
-        chosen[key] = min(chosen.get(key, (1, 0)), (ACTIONS.index(action), len(host.encode())))
+        own = (ACTIONS.index(action), len(host.encode()))
+        chosen[key] = min(chosen.get(key, own), own)
         if len(chosen) > MAX_RULES:
             raise ValueError(f"more than {MAX_RULES} rules")
     rows = sorted((digest(k), k, *v) for k, v in chosen.items())

@@ -30,13 +30,13 @@ def test_held_out_accuracy_of_text_alone(documents, model):
 
 def test_fusion_helps_short_texts(spark, model):
     rng = random.Random(0)
-    common = {"de": "der", "en": "the", "es": "los", "fr": "des"}
+    common = {"de": "der", "en": "the", "es": "los", "fr": "les"}
     rows = [(len(common) * n + k, f"{word} x" if n % 5 else "q", lang if rng.random() < 0.8 else "en", f"www.{lang}site.{lang}") for n in range(100) for k, (lang, word) in enumerate(sorted(common.items()))]
     truth = [lang for n in range(100) for lang in sorted(common)]
     frame = spark.createDataFrame(rows, "key long, text string, declared string, host string").withColumn("suffix", language.suffix_of(F.col("host")))
     got = sorted(language.identify(frame, model).collect(), key=lambda r: r.key)
     text, fused = (np.mean([getattr(r, c) == t for r, t in zip(got, truth)]) for c in ("text_language", "language"))
-    assert fused > 0.95 > text
+    assert fused > 0.95 > text, (fused, text)
 
 
 def test_edge_cases(spark, model):
