@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 SECOND = 1_000_000_000
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
-_SHAPE = re.compile(r"(?P<day>\d{4}-\d{2}-\d{2})[Tt ](?P<time>\d{2}:\d{2}:\d{2})(?:\.(?P<part>\d{1,9}))?(?P<zone>[Zz]|[+-]\d{2}:[0-5]\d)")
+#: RFC 3339 with an offset and up to nine fractional digits (fixed value).
+_SHAPE = re.compile(r"(?P<day>\d{4}-\d\d-\d\d)[Tt ](?P<time>\d\d:\d\d:\d\d)(?P<part>\.\d{1,9})?(?P<zone>[Zz]|[+-]\d\d:[0-5]\d)", re.ASCII)
 
 
 def parse_instant(text: object) -> int:
@@ -19,10 +20,10 @@ def parse_instant(text: object) -> int:
         raise TypeError("an instant must be text with an offset")
     if not (found := _SHAPE.fullmatch(text)):
         raise ValueError(f"not an instant with an offset and up to nine fractional digits: {text!r}")
-    zone = "+00:00" if found["zone"] in "Zz" else found["zone"]
-    since = datetime.fromisoformat(f"{found['day']}T{found['time']}{zone}") - _EPOCH
-    ticks = (since.days * 86_400 + since.seconds) * SECOND + int((found["part"] or "0").ljust(9, "0"))
-    if not -(1 << 63) <= ticks < 1 << 63:
+    whole = datetime.fromisoformat(f"{found['day']}T{found['time']}{found['zone'].upper()}")
+    digits = (found["part"] or ".")[1:]
+    ticks = int(whole.timestamp()) * SECOND + int(digits + "0" * (9 - len(digits)))
+    if ticks.bit_length() > 63 and ticks != -(1 << 63):
         raise ValueError("an instant must fit into 64 bits of nanoseconds")
     return ticks
 
