@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import accumulate
 
 import pyarrow as pa
@@ -32,6 +32,8 @@ from .common import private
 LIMIT = 512
 #: Entries of each memo before it is emptied.
 MEMO = 400_000
+#: Bytes of a word whose prefixes are kept in the memo.
+LONG = 64
 #: The byte-level pre-tokenizer's pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -53,7 +55,8 @@ class _Memo(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= MEMO:
             self.clear()
-        n = self[word] = self.owner.states(word.encode())[-1][0]
+        # a special string is one token; no ordinary word is spelled like it
+        n = self[word] = 1 if word in self.owner.specials else self.owner.state(word.encode())[0]
         return n
 
 
@@ -96,39 +99,45 @@ class PrefixCounter:
             known = self._pairs[pair] = self.merge(before + token) == ([before, token] if before else [token])
         return known
 
-    def states(self, word: bytes) -> list[tuple[int, bytes]]:
-        """(tokens, last token) of every prefix of a word, the empty one first."""
-        states = [(0, b"")]
-        memo, tokens, fits = self._states, self.tokens, self._fits
-        for end in range(1, len(word) + 1):
-            prefix = word[:end] if end <= 64 else None
-            state = memo.get(prefix) if prefix is not None else None
-            if state is None:
-                for start in range(max(0, end - self.longest), end):
-                    token = word[start:end]
-                    if token in tokens and fits(states[start][1], token):
-                        state = (states[start][0] + 1, token)
-                        break
-                else:
-                    raise ValueError("the vocabulary lacks a byte")
-                if prefix is not None:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[prefix] = state
-            states.append(state)
-        return states
-
-    def split(self, text: str) -> list[tuple[str, bool]]:
-        """Words as the tokenizer splits a text, each with whether it is a special string."""
+    def state(self, word: bytes) -> tuple[int, bytes]:
+        """(tokens, last token) of a word. Of its first ``LONG`` bytes, only prefixes that are not in the memo are computed."""
+        memo, short = self._states, word[:LONG]
+        known = len(short)
+        while known and short[:known] not in memo:
+            known -= 1
+        if known < len(short) and len(memo) + len(short) > MEMO:
+            memo.clear()
+            known = 0
+        for end in range(known + 1, len(short) + 1):
+            memo[short[:end]] = self._next(short, end, lambda start: memo[short[:start]] if start else (0, b""))
+        if len(word) <= LONG:
+            return memo[word] if word else (0, b"")
+        states = [(0, b""), *(memo[short[:end]] for end in range(1, LONG + 1))]
+        for end in range(LONG + 1, len(word) + 1):
+            states.append(self._next(word, end, states.__getitem__))
+        return states[-1]
+
+    def _next(self, word: bytes, end: int, before) -> tuple[int, bytes]:
+        """State of the prefix up to ``end``, from those of shorter ones."""
+        tokens, pairs = self.tokens, self._pairs
+        for start in range(max(0, end - self.longest), end):
+            token = word[start:end]
+            if token in tokens:
+                count, last = before(start)
+                fits = pairs.get((last, token))
+                if fits or fits is None and self._fits(last, token):
+                    return count + 1, token
+        raise ValueError("the vocabulary lacks a byte")
+
+    def split(self, text: str) -> list[str]:
+        """Words as the tokenizer splits a text; special strings are words of their own."""
         if self.cut is None or not any(s in text for s in self.specials):
-            return [(w, False) for w in self.find(text)]
-        return [(w, n % 2 == 1) for n, part in enumerate(self.cut.split(text)) for w in ([part] if n % 2 else self.find(part))]
+            return self.find(text)
+        return [w for n, part in enumerate(self.cut.split(text)) for w in ([part] if n % 2 else self.find(part))]
 
     def counts(self, text: str) -> list[int]:
         """Tokens of each word of a text."""
-        if self.cut is None or not any(s in text for s in self.specials):
-            return list(map(self.memo.__getitem__, self.find(text)))
-        return [1 if special else self.memo[w] for w, special in self.split(text)]
+        return list(map(self.memo.__getitem__, self.split(text)))
 
     def prefixes(self, text: str) -> PrefixCounts:
         return PrefixCounts(self, text)
@@ -140,13 +149,16 @@ class PrefixCounts:
     def __init__(self, counter: PrefixCounter, text: str):
         self.counter, self.text = counter, text
         self.words = counter.split(text)
-        self.ends = [0, *accumulate(len(w) for w, _ in self.words)]
-        self.sums = [0, *accumulate(1 if special else counter.memo[w] for w, special in self.words)]
+        self.sums = list(accumulate(map(counter.memo.__getitem__, self.words), initial=0))
 
     @property
     def total(self) -> int:
         return self.sums[-1]
 
+    @cached_property
+    def ends(self) -> list[int]:
+        return list(accumulate(map(len, self.words), initial=0))
+
     def count(self, chars: int) -> int:
         """Tokens of the first ``chars`` characters, taken as a text of its own.
 
@@ -190,14 +202,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, limit: int = LIMIT, id_col:
             sizes, totals, cuts = [], [], []
             for value in batch.column(1):
                 text = value.as_py()
+                known = counter.prefixes(text)
                 sizes.append(len(text.encode()))
-                if len(text) <= limit and len(text.encode()) <= limit:
-                    totals.append(sum(counter.counts(text)))
-                    cuts.append(len(text))
-                else:
-                    known = counter.prefixes(text)
-                    totals.append(known.total)
-                    cuts.append(known.truncate(limit))
+                totals.append(known.total)
+                cuts.append(known.truncate(limit))
             columns = [pa.array(sizes, pa.int64()), pa.array(totals, pa.int64()), pa.array([n > limit for n in totals], pa.bool_()), pa.array(cuts, pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.names)
 
