@@ -55,6 +55,21 @@ def private(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+#: Ids that may be broadcast to every task: some 16 MB of them.
+MAX_BROADCAST_IDS = 1_000_000
+
+
+def without(docs: DataFrame, id_col: str, gone: DataFrame, max_broadcast: int = MAX_BROADCAST_IDS) -> DataFrame:
+    """``docs`` but for rows whose id is in ``gone``'s only column; rows without an id stay.
+
+    The ids are written and counted first. Up to ``max_broadcast`` of them go to all tasks, and the documents
+    with their texts stay where they are; more of them meet the documents in a shuffle.
+    """
+    listed = materialise(gone.select(F.col(gone.columns[0]).alias("__gone")).where("__gone is not null").distinct(), "gone")
+    known = F.broadcast(listed) if listed.count() <= max_broadcast else listed
+    return docs.join(known, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+
+
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of undirected links ``(a, b)`` of orderable ids, as ``(node, root)`` with the smallest id as root.
 

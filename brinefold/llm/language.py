@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, private
+from .common import materialise, private, without
 
 SAMPLE_ROWS = 4000
 BUCKETS = 1 << 15
@@ -198,5 +198,4 @@ def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", **names: str) ->
     """``docs`` without those whose language stays undetermined or unsure. Rows without an id stay."""
     model = fit(docs, id_col=id_col)
     judged = identify(document_evidence(docs, id_col=id_col, **names), model)
-    gone = judged.where(~F.col("accepted")).select(F.col("key").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    return without(docs, id_col, judged.where(~F.col("accepted")).select("key"))

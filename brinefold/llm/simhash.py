@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, materialise, private
+from .common import connected_components, materialise, private, without
 
 BITS = 64
 SEED = 42
@@ -278,8 +278,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     links = trie_links(nodes, budget).union(same).union(leader_links(texts, similarity))
     roots = connected_components(links)
     kept = texts.join(roots, texts["id"] == roots["node"], "left").where("root is null or root = id").select("id")
-    gone = marks.select("id").distinct().join(kept, "id", "left_anti").withColumnRenamed("id", "__gone")
-    left = docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    left = without(docs, id_col, marks.select("id").distinct().join(kept, "id", "left_anti"))
     if marks.groupBy("id").count().where("count > 1").isEmpty():
         return left
     named = left.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col])
