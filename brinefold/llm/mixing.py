@@ -7,9 +7,9 @@ source is then less than one block from its share. The order of sources repeats
 block's slot is arithmetic on its number; only the period is simulated. When a source has no blocks
 left, a new phase begins in which the others share its slots by their weights; no row is left out.
 
-Ranks within a source come from hash buckets: counts of (source, bucket) are combined map-side and
-summed up in order, and rows are only ever sorted within a bucket, so that a source with a third of all
-rows takes no more of any task than another.
+Ranks within a source come from hash buckets of about ``BUCKET_ROWS`` rows, more of them the more rows the
+source has: counts of (source, bucket) are combined map-side and summed up in order, at two levels, and rows
+are only ever sorted within a bucket, so that a source with a third of all rows crowds no task.
 
 Defined results: sources without a weight, null ones too, share the weight ``other`` as one group; rows
 with equal ids are ordered by a hash of their other columns and each keeps its own place; an empty table
@@ -30,7 +30,9 @@ WEIGHTS = {"src0": 20} | {f"src{i}": 4 for i in range(1, 20)}
 OTHER = 4
 BLOCK_ROWS = 8
 #: Rows that a bucket is meant to hold.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2000
+#: Buckets whose counts are summed up together.
+SPAN = 1024
 ADDED = ("mix_group", "mix_block", "mix_slot", "mix_position")
 
 
@@ -77,12 +79,16 @@ def mix(docs: DataFrame, *, weights: dict[str, int] | None = None, other: int =
     group = F.when(source.isin(named), F.concat(F.lit("="), source)).otherwise(F.lit(""))
     mark = F.xxhash64(F.lit(seed), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))
     counts = {r[0]: r[1] for r in docs.select(group.alias("g")).groupBy("g").count().collect()}  # a row for each of at most 1001 groups
-    buckets = max(1, math.ceil(sum(counts.values()) / bucket_rows))
+    buckets = {g: math.ceil(n / bucket_rows) for g, n in counts.items()}
+    own = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for g in buckets for x in (g, buckets[g])]), group), F.lit(1)) if buckets else F.lit(1)
+    bucket = F.pmod(F.shiftright(mark, 7), own)
     rest = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
-    rows = docs.select("*", group.alias("mix_group"), F.pmod(F.shiftright(mark, 7), F.lit(buckets)).alias("__bucket"), mark.alias("__mark"), rest.alias("__rest"))
-    sizes = docs.select(group.alias("mix_group"), F.pmod(F.shiftright(mark, 7), F.lit(buckets)).alias("__bucket")).groupBy("mix_group", "__bucket").count()
-    before = F.coalesce(F.sum("count").over(W.Window.partitionBy("mix_group").orderBy("__bucket").rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("mix_group", "__bucket", before.alias("__before"))
+    rows = docs.select("*", group.alias("mix_group"), bucket.alias("__bucket"), mark.alias("__mark"), rest.alias("__rest"))
+    sizes = docs.select(group.alias("mix_group"), bucket.alias("__bucket")).groupBy("mix_group", "__bucket").count().withColumn("__span", F.floor(F.col("__bucket") / SPAN))
+    earlier = lambda c, key, by: F.coalesce(F.sum(c).over(W.Window.partitionBy(*key).orderBy(by).rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0))
+    spans = sizes.groupBy("mix_group", "__span").agg(F.sum("count").alias("n")).select("mix_group", "__span", earlier("n", ["mix_group"], "__span").alias("__above"))
+    starts = sizes.select("mix_group", "__bucket", "__span", earlier("count", ["mix_group", "__span"], "__bucket").alias("__inside")).join(spans, ["mix_group", "__span"])
+    starts = starts.select("mix_group", "__bucket", (F.col("__above") + F.col("__inside")).alias("__before"))
     within = F.row_number().over(W.Window.partitionBy("mix_group", "__bucket").orderBy("__mark", F.col(f"`{id_col}`"), "__rest"))
     ranked = rows.withColumn("__within", within).join(starts, ["mix_group", "__bucket"]).withColumn("__rank", F.col("__before") + F.col("__within") - 1)
     blocks = {g: math.ceil(n / block_rows) for g, n in counts.items()}
