@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import connected_components, materialise, private, without
+from .common import MAX_BROADCAST_IDS, connected_components, materialise, private, without
 
 BITS = 64
 SEED = 42
@@ -230,21 +230,54 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 
 def bits_for(similarity: float, lanes: int = LANES) -> int:
-    """Bits by which the wide fingerprints of two shingle sets of that Jaccard similarity differ, and a deviation and a half more.
+    """Bits by which the wide fingerprints of two shingle sets of that Jaccard similarity differ, and three deviations more.
 
     Sets of one size with similarity j have the cosine 2j / (1 + j); a bit differs with the probability angle / pi.
     """
     p = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
     n = BITS * lanes
-    return math.floor(p * n + 1.5 * math.sqrt(n * p * (1 - p)))
+    return math.floor(p * n + 3 * math.sqrt(n * p * (1 - p)))
 
 
-def leader_links(marks: DataFrame, similarity: float, *, lanes: int = LANES, rounds: int = ROUNDS) -> DataFrame:
-    """Links ``(a, b)`` between texts whose wide fingerprints say that they are ``similarity`` alike.
+def alike(links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Those of the ``links`` whose ``texts`` (``id``, ``text``) have that Jaccard similarity of shingle sets, exactly.
+
+    Only texts that a link names are moved.
+    """
+    links = materialise(links.select("a", "b").distinct(), "candidates")
+    wanted = materialise(links.select(F.col("a").alias("want")).union(links.select("b")).distinct(), "wanted")
+    known = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_IDS else wanted
+    own = materialise(texts.join(known, F.col("id") == F.col("want"), "left_semi").dropDuplicates(["id"]), "wanted-texts")
+    sides = links.join(own.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+
+        def shingles(name: int, text: pa.Scalar) -> np.ndarray:
+            if name not in held:
+                if len(held) >= 64:
+                    held.clear()
+                held[name] = np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *shingle_hashes(text.as_py(), words)]))
+            return held[name]
+
+        for batch in batches:
+            keep = []
+            for a, b, x, y in zip(*batch.columns):
+                one, two = shingles(a.as_py(), x), shingles(b.as_py(), y)
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                keep.append(both >= similarity * (len(one) + len(two) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+
+    return materialise(sides.mapInArrow(run, "a long, b long"), "alike")
+
+
+def leader_links(marks: DataFrame, texts: DataFrame, words: int, similarity: float, *, lanes: int = LANES, rounds: int = ROUNDS) -> DataFrame:
+    """Links ``(a, b)`` between texts that are ``similarity`` alike.
 
     ``marks``: ``id``, distinct ``wide`` and ``anchors``, a text's smallest shingle hashes. Texts so alike
-    nearly surely share anchors. In each round the smallest id of an anchor's texts leads them, and
-    those alike to a leader are linked to it and leave; then the next leads. Rows grow with texts times
+    nearly surely share anchors. In each round each anchor's texts are led by the one whose anchors are the most common,
+    as the origin of copies is; those whose wide fingerprints come near a leader's, and then whose texts are alike, are linked to it and
+    leave with it; of the rest the next one leads. Rows grow with texts times
     anchors whatever the groups' sizes, and a common passage or a mass of copies costs no more than other texts.
     """
     far = bits_for(similarity, lanes)
@@ -252,14 +285,17 @@ def leader_links(marks: DataFrame, similarity: float, *, lanes: int = LANES, rou
     wide = marks.select("id", "wide")
     found = None
     for _ in range(rounds):
-        led = keys.groupBy("anchor").agg(F.min("id").alias("leader"), F.count("*").alias("size")).where("size > 1").drop("size")
-        followers = materialise(keys.join(led, "anchor"), "followers")
-        pairs = followers.where("id <> leader").select("id", "leader").distinct()
+        sizes = keys.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1")
+        keyed = materialise(keys.join(sizes, "anchor"), "anchors")
+        fame = keyed.groupBy("id").agg(F.sum("size").alias("fame"))
+        led = keyed.join(fame, "id").groupBy("anchor").agg(F.min(F.struct((-F.col("fame")).alias("f"), F.col("id").alias("leader"))).alias("x")).select("anchor", "x.leader")
+        followers = materialise(keyed.join(led, "anchor").where("id <> leader").select("id", "anchor", "leader"), "followers")
+        pairs = followers.select("id", "leader").distinct()
         pairs = pairs.join(wide, "id").join(wide.select(F.col("id").alias("leader"), F.col("wide").alias("lead")), "leader")
         apart = sum(F.bit_count(F.element_at("wide", i + 1).bitwiseXOR(F.element_at("lead", i + 1))) for i in range(lanes))
-        links = materialise(pairs.where(apart <= far).select(F.col("id").alias("a"), F.col("leader").alias("b")), "leader-links")
+        links = alike(pairs.where(apart <= far).select(F.col("id").alias("a"), F.col("leader").alias("b")), texts, words, similarity)
         found = links if found is None else found.union(links)
-        keys = followers.where("id <> leader").select("id", "anchor").join(links.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
+        keys = followers.select("id", "anchor").join(links.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
         if keys.isEmpty():
             break
     return found
@@ -268,14 +304,16 @@ def leader_links(marks: DataFrame, similarity: float, *, lanes: int = LANES, rou
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, budget: int = 2) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of each group of near-duplicates.
 
-    Groups are connected by the trie join of fingerprints within ``budget`` bits, and by ``leader_links`` of
-    texts that differ in more of them and are still ``similarity`` alike. Rows without an id stay; of rows with the same id one stays.
+    Candidates come from the trie join of fingerprints within ``budget`` bits and from ``leader_links``; all links are between texts
+    that are ``similarity`` alike. Texts of equal wide fingerprints are the same. Rows without an id stay; of rows with the same id one stays.
     """
+    source = private(docs, id=id_col, text=text_col).where("id is not null").withColumn("text", F.col("text").cast("binary"))
     marks = materialise(fingerprints(docs, id_col=id_col, text_col=text_col, words=words, lanes=LANES, anchors=ANCHORS).where("id is not null"), "marks")
     texts = materialise(marks.groupBy("wide").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("anchors").alias("anchors")), "texts")
     nodes = texts.groupBy("fp").agg(F.min("id").alias("id"))
-    same = texts.join(nodes.withColumnRenamed("id", "b"), "fp").select(F.col("id").alias("a"), "b")
-    links = trie_links(nodes, budget).union(same).union(leader_links(texts, similarity))
+    same = texts.join(nodes.withColumnRenamed("id", "b"), "fp").where("id <> b").select(F.col("id").alias("a"), "b")
+    near = alike(trie_links(nodes, budget).union(same), source, words, similarity)
+    links = near.union(leader_links(texts, source, words, similarity))
     roots = connected_components(links)
     kept = texts.join(roots, texts["id"] == roots["node"], "left").where("root is null or root = id").select("id")
     left = without(docs, id_col, marks.select("id").distinct().join(kept, "id", "left_anti"))
