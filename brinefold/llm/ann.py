@@ -194,26 +194,29 @@ def search(vectors: DataFrame, is_query: F.Column, *, k: int = 5, target: float
     chosen = classes.where(F.pmod(F.xxhash64("cls", F.lit("sample")), F.lit(1_000_000)) < math.ceil(share * 1_000_000)).orderBy(F.xxhash64("cls"), "cls").limit(sample)
     held = chosen.select("v").toArrow().column(0).combine_chunks()
     router = fit(_matrix(held) if len(held) > 1 else np.ones((2, lengths[0]["d"])), target=target)
-    probes = router.probes
     weights = vectors.sparkSession.sparkContext.broadcast(router)  # a few hundred kB
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            v = _matrix(batch.column(1))
-            if not len(v):
-                continue
-            scores = weights.value.scores(v / np.sqrt((v * v).sum(axis=1, keepdims=True)))
-            order = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(order.tolist(), pa.list_(pa.int64()))], names=["cls", "v", "ids", "parts"])
+    def routed(count: int):
+        """Adds the ``count`` most probable parts of each vector."""
 
-    placed = materialise(classes.mapInArrow(place, "cls long, v array<double>, ids array<long>, parts array<long>"), "placed-vectors")
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                v = _matrix(batch.column(1))
+                if len(v):
+                    scores = weights.value.scores(v / np.sqrt((v * v).sum(axis=1, keepdims=True)))
+                    order = np.argsort(-scores, axis=1, kind="stable")[:, :count]
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(order.tolist(), pa.list_(pa.int64()))], names=[*batch.schema.names, "parts"])
+
+        return run
+
+    index = classes.mapInArrow(routed(1), "cls long, v array<double>, ids array<long>, parts array<long>")
+    placed = materialise(index.select("cls", "v", "ids", F.element_at("parts", 1).alias("part")), "placed-vectors")
     asking = rows.where(is_query).select("id", "v").distinct()
-    named = placed.select("cls", "v").join(asking, "v").select("cls", F.col("id").alias("query_id"))
-    named = materialise(named, "queries")
-    queries = placed.join(named.select("cls").distinct(), "cls").select("cls", "v", F.explode("parts").alias("part"))
+    named = materialise(placed.select("cls", "v").join(asking, "v").select("cls", F.col("id").alias("query_id")), "queries")
+    asked = placed.join(named.select("cls").distinct(), "cls").select("cls", "v")
+    queries = materialise(asked.mapInArrow(routed(router.probes), "cls long, v array<double>, parts array<long>"), "routed-queries").select("cls", "v", F.explode("parts").alias("part"))
 
-    part = F.element_at("parts", 1)
-    width = {r[0]: max(1, math.ceil(r[1] / chunk)) for r in placed.groupBy(part.alias("part")).count().collect()}  # a row for each part
+    width = {r[0]: max(1, math.ceil(r[1] / chunk)) for r in placed.groupBy("part").count().collect()}  # a row for each part
     deep = {r[0]: max(1, math.ceil(r[1] / chunk)) for r in queries.groupBy("part").count().collect()}
 
     def lot(column: F.Column, sizes: dict[int, int]) -> F.Column:
@@ -221,7 +224,7 @@ def search(vectors: DataFrame, is_query: F.Column, *, k: int = 5, target: float
 
     spread = lambda n: F.sequence(F.lit(0), (n - 1).cast("int"))
     mark = lambda n: F.pmod(F.xxhash64("cls"), n).cast("int")
-    left = placed.select("cls", "v", "ids", part.alias("part")).where(F.col("part").isin(list(deep)))
+    left = placed.where(F.col("part").isin(list(deep)))
     left = left.select("cls", "v", "ids", "part", mark(lot(F.col("part"), width)).alias("a"), F.explode(spread(lot(F.col("part"), deep))).alias("b"))
     right = queries.select(F.col("cls").alias("asked"), F.col("v").alias("w"), F.col("part").alias("part_"), mark(lot(F.col("part"), deep)).alias("b_"), F.explode(spread(lot(F.col("part"), width))).alias("a_"))
 
