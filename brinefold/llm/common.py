@@ -70,6 +70,21 @@ def without(docs: DataFrame, id_col: str, gone: DataFrame, max_broadcast: int =
     return docs.join(known, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
 
 
+#: Keys whose rows meet the other side through a broadcast: that many at most, whatever the size of the data.
+HOT_KEYS = 1000
+
+
+def lookup(left: DataFrame, right: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join of many rows with a written table that has one row for each ``key``, and in ``weight`` how many rows of ``left`` have it.
+
+    Rows of the ``HOT_KEYS`` heaviest keys find them in a broadcast of just those and are not shuffled, so that no key
+    fills a partition; the others are joined by a shuffle, or as adaptive execution sees fit. ``left`` is read twice.
+    """
+    hot = materialise(right.orderBy(F.desc(weight), key).limit(HOT_KEYS), "hot-keys")
+    cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right, key)
+    return left.join(F.broadcast(hot), key).unionByName(cold)
+
+
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of undirected links ``(a, b)`` of orderable ids, as ``(node, root)`` with the smallest id as root.
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import MAX_BROADCAST_IDS, connected_components, materialise, private, without
+from .common import MAX_BROADCAST_IDS, connected_components, lookup, materialise, private, without
 
 BITS = 64
 SEED = 42
@@ -223,10 +223,10 @@ def trie_links(nodes: DataFrame, budget: int, *, unit_cap: int = UNIT_CAP) -> Da
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, budget: int = 2, unit_cap: int = UNIT_CAP) -> DataFrame:
     """``id``, ``fp`` and ``component_id`` (the smallest id that links of at most ``budget`` bits reach) for every row."""
     marks = materialise(fingerprints(docs, id_col=id_col, text_col=text_col, words=words), "fingerprints")
-    nodes = materialise(marks.groupBy("fp").agg(F.min("id").alias("id")), "nodes")
-    roots = connected_components(trie_links(nodes, budget, unit_cap=unit_cap))
-    named = nodes.join(roots, nodes.id == roots.node, "left").select("fp", F.coalesce("root", nodes.id).alias("component_id"))
-    return marks.join(named, "fp", "left").select("id", "fp", "component_id")
+    nodes = materialise(marks.groupBy("fp").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "nodes")
+    roots = connected_components(trie_links(nodes.select("id", "fp"), budget, unit_cap=unit_cap))
+    named = materialise(nodes.join(roots, nodes.id == roots.node, "left").select("fp", F.coalesce("root", nodes.id).alias("component_id"), "copies"), "components")
+    return lookup(marks, named, "fp", "copies").select("id", "fp", "component_id")
 
 
 def bits_for(similarity: float, lanes: int = LANES) -> int:
@@ -285,13 +285,15 @@ def leader_links(marks: DataFrame, texts: DataFrame, words: int, similarity: flo
     wide = marks.select("id", "wide")
     found = None
     for _ in range(rounds):
-        sizes = keys.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1")
-        keyed = materialise(keys.join(sizes, "anchor"), "anchors")
+        sizes = materialise(keys.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"), "anchor-sizes")
+        keyed = materialise(lookup(keys, sizes, "anchor", "size").select("id", "anchor", "size"), "anchors")
         fame = keyed.groupBy("id").agg(F.sum("size").alias("fame"))
-        led = keyed.join(fame, "id").groupBy("anchor").agg(F.min(F.struct((-F.col("fame")).alias("f"), F.col("id").alias("leader"))).alias("x")).select("anchor", "x.leader")
-        followers = materialise(keyed.join(led, "anchor").where("id <> leader").select("id", "anchor", "leader"), "followers")
-        pairs = followers.select("id", "leader").distinct()
-        pairs = pairs.join(wide, "id").join(wide.select(F.col("id").alias("leader"), F.col("wide").alias("lead")), "leader")
+        led = keyed.join(fame, "id").groupBy("anchor").agg(F.min(F.struct((-F.col("fame")).alias("f"), F.col("id").alias("leader"))).alias("x"), F.count("*").alias("weight"))
+        led = materialise(led.select("anchor", "x.leader", "weight"), "leaders")
+        followers = materialise(lookup(keyed, led, "anchor", "weight").where("id <> leader").select("id", "anchor", "leader"), "followers")
+        pairs = materialise(followers.select("id", "leader").distinct().join(wide, "id"), "pairs")
+        leads = pairs.groupBy("leader").agg(F.count("*").alias("weight")).join(wide.select(F.col("id").alias("leader"), F.col("wide").alias("lead")), "leader")
+        pairs = lookup(pairs, materialise(leads, "leads"), "leader", "weight")
         apart = sum(F.bit_count(F.element_at("wide", i + 1).bitwiseXOR(F.element_at("lead", i + 1))) for i in range(lanes))
         links = alike(pairs.where(apart <= far).select(F.col("id").alias("a"), F.col("leader").alias("b")), texts, words, similarity)
         found = links if found is None else found.union(links)
