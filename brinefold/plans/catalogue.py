@@ -265,10 +265,10 @@ CATALOGUE = [
     ("filter_field_field", wired({"lt": [{"field": "event_id"}, {"field": "user_id"}]}, lambda spark, sf_dir: events(spark, sf_dir).withColumn("user_id", F.col("user_id") * 40)), _ids("event_id < user_id * 40")),
     ("time_range_incl", wired({"timestampRange": {"field": "ts", "start": "2024-01-06T00:00:00Z", "end": "2024-01-07T00:00:00Z", "endInclusive": True}}), _ids("ts >= TIMESTAMP '2024-01-06' AND ts <= TIMESTAMP '2024-01-07'")),
     ("time_range_excl", wired({"timestampRange": {"field": "ts", "start": "2024-01-06T00:00:00.000000001Z", "startInclusive": False, "end": "2024-01-07T00:00:00Z"}}), _ids("ts > TIMESTAMP '2024-01-06' AND ts < TIMESTAMP '2024-01-07'")),
-    ("project_columns", rows({"where": {"ts": RANGE}, "select": ["value", "event_id"], "limit": 500}), _page_sql("ts DESC, event_id", 0, 501, "value, event_id")),
-    ("project_alias", plan({"filter": SPAN, "projection": [{"field": "event_id", "alias": "id"}, {"field": "value", "alias": "amount"}], "page": {"size": 100}}), _page_sql("ts DESC, event_id", 0, 101, "event_id AS id, value AS amount")),
-    ("topk_default_order", rows({"where": {"ts": RANGE}, "limit": 50}), _page_sql("ts DESC, event_id", 0, 51)),
-    ("order_by_multi", rows({"where": {"ts": RANGE}, "limit": 80, "orderBy": [{"field": "user_id", "direction": "desc"}, {"field": "event_id", "direction": "asc"}]}), _page_sql("user_id DESC, event_id, ts DESC", 0, 81)),
+    ("project_columns", rows({"where": {"ts": RANGE}, "select": ["value", "event_id"], "limit": 500}), _page_sql("ts DESC, event_id", 0, 500, "value, event_id")),
+    ("project_alias", plan({"filter": SPAN, "projection": [{"field": "event_id", "alias": "id"}, {"field": "value", "alias": "amount"}], "page": {"size": 100}}), _page_sql("ts DESC, event_id", 0, 100, "event_id AS id, value AS amount")),
+    ("topk_default_order", rows({"where": {"ts": RANGE}, "limit": 50}), _page_sql("ts DESC, event_id", 0, 50)),
+    ("order_by_multi", rows({"where": {"ts": RANGE}, "limit": 80, "orderBy": [{"field": "user_id", "direction": "desc"}, {"field": "event_id", "direction": "asc"}]}), _page_sql("user_id DESC, event_id, ts DESC", 0, 80)),
     ("keyset_page_2", keyset_page_2, _page_sql("user_id, ts DESC, event_id", 25, 25)),
     ("get_by_identity", rows({"where": {"event_id": 77}}, operation="get"), f"SELECT {COLUMNS} FROM events WHERE event_id = 77"),
     ("empty_plan", plan({"filter": SPAN, "empty": True}), f"SELECT {COLUMNS} FROM events WHERE false"),

@@ -26,7 +26,8 @@ class Output:
 
 @dataclass
 class Compiled:
-    """A plan. ``frame`` may hold columns beyond ``outputs`` that order it; ``visible`` has the outputs alone."""
+    """A plan. ``frame`` may hold columns beyond ``outputs`` that order it, and one row beyond the page that
+    tells whether there is more; ``visible`` has the page's rows and the outputs alone."""
 
     frame: DataFrame
     outputs: tuple[Output, ...]
@@ -43,7 +44,7 @@ class Compiled:
     def visible(self) -> DataFrame:
         if self.aggregate:
             return self.frame.select(*[F.col(f"`{o.name}`") for o in self.outputs])
-        return self.frame.select(*[F.col(f"`{self.columns.get(o.name, o.name)}`").alias(o.name) for o in self.outputs])
+        return self.frame.limit(self.page_size).select(*[F.col(f"`{self.columns.get(o.name, o.name)}`").alias(o.name) for o in self.outputs])
 
 
 def scan(table: DataFrame, layout: Layout, scope: str | None, predicate: Column, span: tuple[int, int] | None, now_ticks: int | None = None) -> DataFrame:
