@@ -67,7 +67,7 @@ def without(docs: DataFrame, id_col: str, gone: DataFrame, max_broadcast: int =
     """
     listed = materialise(gone.select(F.col(gone.columns[0]).alias("__gone")).where("__gone is not null").distinct(), "gone")
     known = F.broadcast(listed) if listed.count() <= max_broadcast else listed
-    return docs.join(known, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    return docs.join(known, docs[f"`{id_col}`"] == known["__gone"], "left_anti")
 
 
 #: Keys whose rows meet the other side through a broadcast: that many at most, whatever the size of the data.

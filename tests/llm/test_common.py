@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,11 +25,14 @@ def test_lookup_is_an_inner_join(spark, monkeypatch, hot):
     assert sorted((r.id, r.k, r.value) for r in got.collect()) == sorted((r.id, r.k, r.k * 10) for r in left.where("k < 50").collect())
 
 
-def test_shared_folder_is_read_from_the_session(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}/")
-    try:
-        assert common.shared_dir(spark) == f"file://{tmp_path}"
-        assert common.materialise(spark.range(3), "x").count() == 3 and any(tmp_path.iterdir())
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert common.shared_dir(spark) == common.shared_dir(spark) != f"file://{tmp_path}"
+def test_shared_folder_is_read_from_the_session(spark):
+    def session(named, master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": named}[key] or default), sparkContext=SimpleNamespace(master=master, applicationId=f"test-{master}"))
+
+    assert common.shared_dir(session("hdfs:///shared/", "spark://x:7077")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError):
+        common.shared_dir(session(None, "spark://x:7077"))
+    with pytest.raises(RuntimeError):
+        common.shared_dir(session(None, "local-cluster[2,1,1024]"))
+    assert common.shared_dir(session(None, "local[2]")).startswith("file:///")
+    assert common.shared_dir(spark) == common.shared_dir(spark)

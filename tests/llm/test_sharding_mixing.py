@@ -89,7 +89,7 @@ def test_phases_place_each_block_once():
 def test_mixture_keeps_rows_and_shares(spark):
     rng = random.Random(2)
     rows = [(i, rng.choice(["a"] * 6 + ["b", "c", None]), "clash") for i in range(3000)] + [(7, "a", "clash"), (7, "a", "clash"), (None, "b", "clash")]
-    docs = spark.createDataFrame(rows, "doc_id long, source string, mix_slot string")
+    docs = spark.createDataFrame(rows, "doc_id long, source string, mix_slot string").withColumn("__bucket", F.lit("clash"))
     weights = {"a": 3, "b": 2}
     got = mixing.mix(docs, weights=weights, other=1, block_rows=4, bucket_rows=100).collect()
     assert Counter((r.doc_id, r.source) for r in got) == Counter((i, s) for i, s, _ in rows)
