@@ -73,6 +73,8 @@ def mix(docs: DataFrame, *, weights: dict[str, int] | None = None, other: int =
         raise ValueError("weights must be whole numbers from 1, for at most 1000 sources and 100000 slots a period")
     spark, named = docs.sparkSession, list(weights)
     docs = docs.drop(*ADDED)
+    aside = {c: f"user{c}" for c in docs.columns if c.startswith("__")}  # names that helper columns could clash with
+    docs, id_col, source_col = docs.withColumnsRenamed(aside), aside.get(id_col, id_col), aside.get(source_col, source_col)
     # a group's name is "=" and the source; "" is the group of all others
     source = F.col(f"`{source_col}`").cast("string")
     by_group = {f"={s}": w for s, w in weights.items()} | {"": other}
@@ -83,14 +85,13 @@ def mix(docs: DataFrame, *, weights: dict[str, int] | None = None, other: int =
     own = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for g in buckets for x in (g, buckets[g])]), group), F.lit(1)) if buckets else F.lit(1)
     bucket = F.pmod(F.shiftright(mark, 7), own)
     rest = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
-    # the row travels as one column, so that no name of it can clash
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(f"`{id_col}`").alias("__id"), group.alias("mix_group"), bucket.alias("__bucket"), mark.alias("__mark"), rest.alias("__rest"))
+    rows = docs.select("*", group.alias("mix_group"), bucket.alias("__bucket"), mark.alias("__mark"), rest.alias("__rest"))
     sizes = docs.select(group.alias("mix_group"), bucket.alias("__bucket")).groupBy("mix_group", "__bucket").count().withColumn("__span", F.floor(F.col("__bucket") / SPAN))
     earlier = lambda c, key, by: F.coalesce(F.sum(c).over(W.Window.partitionBy(*key).orderBy(by).rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0))
     spans = sizes.groupBy("mix_group", "__span").agg(F.sum("count").alias("n")).select("mix_group", "__span", earlier("n", ["mix_group"], "__span").alias("__above"))
     starts = sizes.select("mix_group", "__bucket", "__span", earlier("count", ["mix_group", "__span"], "__bucket").alias("__inside")).join(spans, ["mix_group", "__span"])
     starts = starts.select("mix_group", "__bucket", (F.col("__above") + F.col("__inside")).alias("__before"))
-    within = F.row_number().over(W.Window.partitionBy("mix_group", "__bucket").orderBy("__mark", "__id", "__rest"))
+    within = F.row_number().over(W.Window.partitionBy("mix_group", "__bucket").orderBy("__mark", F.col(f"`{id_col}`"), "__rest"))
     ranked = rows.withColumn("__within", within).join(starts, ["mix_group", "__bucket"]).withColumn("__rank", F.col("__before") + F.col("__within") - 1)
     blocks = {g: math.ceil(n / block_rows) for g, n in counts.items()}
     plan = phases(blocks, by_group)
@@ -100,4 +101,4 @@ def mix(docs: DataFrame, *, weights: dict[str, int] | None = None, other: int =
     placed = ranked.withColumn("mix_block", block).join(table, "mix_group").where("mix_block >= __first and mix_block < __end")
     k = F.col("mix_block") - F.col("__first")
     slot = F.col("__start") + F.floor(k / F.col("__weight")) * F.col("__period") + F.element_at("__slots", (F.pmod(k, F.col("__weight")) + 1).cast("int"))
-    return placed.withColumn("mix_slot", slot).withColumn("mix_position", slot * block_rows + F.pmod(F.col("__rank"), F.lit(block_rows))).select(*[F.col("__row")[c].alias(c) for c in docs.columns], *ADDED)
+    return placed.withColumn("mix_slot", slot).withColumn("mix_position", slot * block_rows + F.pmod(F.col("__rank"), F.lit(block_rows))).select(*[F.col(f"`{c}`") for c in docs.columns], *ADDED).withColumnsRenamed({v: k for k, v in aside.items()})
