@@ -15,8 +15,10 @@ table. Other columns of the input are never looked at.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +36,20 @@ BLOCK = 1 << 15
 #: Fingerprints in a unit before it is split further, and bits by which it is split.
 UNIT_CAP = 16_384
 SPLIT_BITS = 7
-#: Of deduplication by similarity: words of a shingle, fingerprints of 64 bits, anchors of a text, and rounds of leaders.
+#: Of deduplication by similarity: words of a shingle, and the Jaccard similarity of shingle sets.
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-LANES = 8
-ANCHORS = 8
+#: Texts whose shingles are counted, and shingles kept, to know common ones. They decide an order only, never which pairs are found.
+SAMPLE = 8192
+COMMON = 200_000
+#: Texts of a shingle above which leaders collapse its groups first, and rounds of leaders; what is left is compared pair by pair.
+CROWD = 32
 ROUNDS = 4
+#: Texts of a side that are compared with one another in one cell.
+CELL = 256
+#: Room for rounding in comparisons of similarities.
+SLACK = 1e-9
+
 
 
 def shingle_hashes(text: bytes | None, words: int) -> Iterator[np.ndarray]:
@@ -61,50 +71,33 @@ def shingle_hashes(text: bytes | None, words: int) -> Iterator[np.ndarray]:
         yield np.array([digest(joined[s:e], SEED) for s, e in zip(first, last)], dtype=np.uint64)
 
 
-def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
-    """Lane 0 is the hash itself; others are the SplitMix64 finaliser over it and the lane's number."""
-    if not lane:
-        return hashes
-    with np.errstate(over="ignore"):
-        x = hashes + np.uint64((0x9E3779B97F4A7C15 * lane) & (2**64 - 1))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
-def fingerprint(text: bytes | None, words: int = 3, lanes: int = 1, anchors: int = 0) -> tuple[list[int], list[int]]:
-    """``lanes`` fingerprints of 64 bits, and the ``anchors`` smallest distinct mixed shingle hashes."""
-    ones, total, least = np.zeros((lanes, BITS), dtype=np.int64), 0, np.empty(0, dtype=np.uint64)
+def fingerprint(text: bytes | None, words: int = 3) -> int:
+    """The fingerprint as a signed number of 64 bits."""
+    ones, total = np.zeros(BITS, dtype=np.int64), 0
     for hashes in shingle_hashes(text, words):
         total += len(hashes)
-        for lane in range(lanes):
-            octets = _mixed(hashes, lane).astype(">u8").view(np.uint8)
-            ones[lane] += np.unpackbits(octets.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-        if anchors:
-            least = np.unique(np.concatenate([least, _mixed(hashes, lanes + 1)]))[:anchors]
-    packed = np.packbits(2 * ones > total, axis=1).view(">u8").astype(np.uint64).view(np.int64) if total else np.zeros((lanes, 1), dtype=np.int64)
-    return [int(x) for x in packed.reshape(-1)], [int(x) for x in least.view(np.int64)]
+        ones += np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > total).view(">u8").astype(np.uint64).view(np.int64)[0]) if total else 0
 
 
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, lanes: int = 1, anchors: int = 0) -> DataFrame:
-    """``id``, ``fp`` (a long: lane 0), and where asked for ``wide`` (all lanes) and ``anchors``."""
+def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
+    """``id`` and ``fp`` (a long)."""
     source = private(docs, id=id_col, text=text_col).withColumn("text", F.col("text").cast("binary"))
-    wide = lanes > 1 or anchors > 0
     fields = [source.schema["id"], T.StructField("fp", T.LongType())]
-    if wide:
-        fields += [T.StructField("wide", T.ArrayType(T.LongType())), T.StructField("anchors", T.ArrayType(T.LongType()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint(x.as_py(), words, lanes, anchors) for x in batch.column(1)]
-            columns = [batch.column(0), pa.array([m[0][0] for m in made], pa.int64())]
-            if wide:
-                columns += [pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+            made = [fingerprint(x.as_py(), words) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.int64())], names=[f.name for f in fields])
 
     return source.mapInArrow(run, T.StructType(fields))
 
 
+def shingle_set(text: bytes | None, words: int) -> np.ndarray:
+    """The distinct shingle hashes in ascending order."""
+    return np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *shingle_hashes(text, words)]))
+
+
 def trie_pairs(keys: np.ndarray, bounds: np.ndarray, budget: int, cross: np.ndarray | None = None) -> np.ndarray:
     """Index pairs of ``keys`` at most ``budget`` bits apart, within each unit ``bounds[u]:bounds[u + 1]``.
 
@@ -229,18 +222,48 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return lookup(marks, named, "fp", "copies").select("id", "fp", "component_id")
 
 
-def bits_for(similarity: float, lanes: int = LANES) -> int:
-    """Bits by which the wide fingerprints of two shingle sets of that Jaccard similarity differ, and three deviations more.
+def common_shingles(source: DataFrame, words: int, *, sample: int = SAMPLE, most: int = COMMON) -> np.ndarray:
+    """Hashes of shingles that several of about ``sample`` texts have, the most common last: ``most`` of them at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(x.as_py(), words).view(np.int64))], names=["hash"])
+
+    step = max(1, math.ceil(source.count() / sample))
+    counted = source.where(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).select("text").mapInArrow(run, "hash long").groupBy("hash").count()
+    top = counted.where("count > 1").orderBy(F.desc("count"), "hash").limit(most).toArrow()
+    return top.column("hash").to_numpy().view(np.uint64)[::-1].copy()
 
-    Sets of one size with similarity j have the cosine 2j / (1 + j); a bit differs with the probability angle / pi.
+
+def prefixes(source: DataFrame, words: int, similarity: float, common: np.ndarray) -> DataFrame:
+    """``id``, ``digest`` of the shingle set (128 bits), its size ``n``, and ``prefix``: its first shingles in one order of all shingles.
+
+    The order puts ``common`` ones last. Two sets that are ``similarity`` alike share a shingle of their prefixes, whatever the order:
+    a prefix is as long as all but one of the shingles that the set may lack.
     """
-    p = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
-    n = BITS * lanes
-    return math.floor(p * n + 3 * math.sqrt(n * p * (1 - p)))
+    order = np.argsort(common)
+    known, rank = common[order], order + 1
+    fields = [source.schema["id"], T.StructField("digest", T.BinaryType()), T.StructField("n", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, sizes, firsts = [], [], []
+            for x in batch.column(1):
+                own = shingle_set(x.as_py(), words)
+                digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                sizes.append(len(own))
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    own = own[np.argsort(np.where(known[at] == own, rank[at], 0), kind="stable")]
+                firsts.append(own[: len(own) - math.ceil(similarity * len(own) - SLACK) + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], names=[f.name for f in fields])
+
+    return source.select("id", "text").mapInArrow(run, T.StructType(fields))
 
 
 def alike(links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Those of the ``links`` whose ``texts`` (``id``, ``text``) have that Jaccard similarity of shingle sets, exactly.
+    """Those of the ``links`` whose ``texts`` (``id``, ``text``) have that Jaccard similarity of shingle sets, exactly, and ``sim``.
 
     Only texts that a link names are moved.
     """
@@ -257,66 +280,104 @@ def alike(links: DataFrame, texts: DataFrame, words: int, similarity: float) ->
             if name not in held:
                 if len(held) >= 64:
                     held.clear()
-                held[name] = np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *shingle_hashes(text.as_py(), words)]))
+                held[name] = shingle_set(text.as_py(), words)
             return held[name]
 
         for batch in batches:
-            keep = []
+            keep, sims = [], []
             for a, b, x, y in zip(*batch.columns):
                 one, two = shingles(a.as_py(), x), shingles(b.as_py(), y)
                 both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(both >= similarity * (len(one) + len(two) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+                either = len(one) + len(two) - both
+                keep.append(both >= similarity * either - SLACK)
+                sims.append(both / max(1, either))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([*[c.filter(mask) for c in batch.columns[:2]], pa.array(sims, pa.float64()).filter(mask)], names=["a", "b", "sim"])
+
+    return materialise(sides.mapInArrow(run, "a long, b long, sim double"), "alike")
+
+
+def _may_be_alike(similarity: float) -> F.Column:
+    """Of rows ``a`` and ``b`` of one shingle: the sizes allow that similarity, and what follows in both, if none of their common shingles comes earlier."""
+    n, m = F.col("a.n"), F.col("b.n")
+    rest = F.least(n - F.col("a.pos"), m - F.col("b.pos"))
+    return (F.least(n, m) >= similarity * F.greatest(n, m) - SLACK) & (rest >= similarity / (1 + similarity) * (n + m) - SLACK)
 
-    return materialise(sides.mapInArrow(run, "a long, b long"), "alike")
 
+def _crossed(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows ``a`` of ``left`` beside rows ``b`` of ``right`` of equal ``keys``, in cells of about ``CELL`` rows of each, so that no key fills a task."""
+    chunks = lambda df, name: df.groupBy(*keys).agg(F.ceil(F.count("*") / CELL).cast("int").alias(name))
+    cells = materialise(chunks(left, "across").join(chunks(right, "down"), keys), "cells")
 
-def leader_links(marks: DataFrame, texts: DataFrame, words: int, similarity: float, *, lanes: int = LANES, rounds: int = ROUNDS) -> DataFrame:
-    """Links ``(a, b)`` between texts that are ``similarity`` alike.
+    def side(df: DataFrame, own: str, other: str, name: str) -> DataFrame:
+        return df.join(cells, keys).select(*keys, F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other), F.struct(*df.columns).alias(name))
 
-    ``marks``: ``id``, distinct ``wide`` and ``anchors``, a text's smallest shingle hashes. Texts so alike
-    nearly surely share anchors. In each round each anchor's texts are led by the one whose anchors are the most common,
-    as the origin of copies is; those whose wide fingerprints come near a leader's, and then whose texts are alike, are linked to it and
-    leave with it; of the rest the next one leads. Rows grow with texts times
-    anchors whatever the groups' sizes, and a common passage or a mass of copies costs no more than other texts.
+    return side(left, "across", "down", "a").join(side(right, "down", "across", "b"), [*keys, "across", "down"])
+
+
+def similar_links(sets: DataFrame, texts: DataFrame, words: int, similarity: float, *, crowd: int = CROWD, rounds: int = ROUNDS) -> DataFrame:
+    """Links ``(a, b)`` that connect all ``sets`` (``id``, ``n``, ``prefix``) whose ``texts`` are ``similarity`` alike, each of them verified.
+
+    Sets so alike share a shingle of their prefixes. All pairs that share one are verified but those that sizes or places of the shingle rule
+    out, and but what crowds spare: there, a shingle's texts are first compared with a leader, that whose shingles are the most common, as
+    the origin of copies is. Texts alike to it are one group with it. Another text needs to be compared only with those of the group that
+    are not nearer to the leader than to the text can be: distances of Jaccard keep the triangle inequality. The group then leaves, and of
+    the rest the next one leads. After ``rounds`` of that, what is left is compared pair by pair, however much it is.
     """
-    far = bits_for(similarity, lanes)
-    keys = marks.select("id", F.explode("anchors").alias("anchor"))
-    wide = marks.select("id", "wide")
-    found = None
+    low = 2 * similarity - 1
+    keys = sets.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
+    sizes = materialise(keys.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "shingle-sizes")
+    keyed = materialise(lookup(keys, sizes, "token", "size").select("id", "n", "pos", "token", "size"), "shingles")
+    links, pairs = [], [_pairs(keyed.where(F.col("size") <= crowd).drop("size"), similarity)]
+    live = keyed.where(F.col("size") > crowd)
     for _ in range(rounds):
-        sizes = materialise(keys.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"), "anchor-sizes")
-        keyed = materialise(lookup(keys, sizes, "anchor", "size").select("id", "anchor", "size"), "anchors")
-        fame = keyed.groupBy("id").agg(F.sum("size").alias("fame"))
-        led = keyed.join(fame, "id").groupBy("anchor").agg(F.min(F.struct((-F.col("fame")).alias("f"), F.col("id").alias("leader"))).alias("x"), F.count("*").alias("weight"))
-        led = materialise(led.select("anchor", "x.leader", "weight"), "leaders")
-        followers = materialise(lookup(keyed, led, "anchor", "weight").where("id <> leader").select("id", "anchor", "leader"), "followers")
-        pairs = materialise(followers.select("id", "leader").distinct().join(wide, "id"), "pairs")
-        leads = pairs.groupBy("leader").agg(F.count("*").alias("weight")).join(wide.select(F.col("id").alias("leader"), F.col("wide").alias("lead")), "leader")
-        pairs = lookup(pairs, materialise(leads, "leads"), "leader", "weight")
-        apart = sum(F.bit_count(F.element_at("wide", i + 1).bitwiseXOR(F.element_at("lead", i + 1))) for i in range(lanes))
-        links = alike(pairs.where(apart <= far).select(F.col("id").alias("a"), F.col("leader").alias("b")), texts, words, similarity)
-        found = links if found is None else found.union(links)
-        keys = followers.select("id", "anchor").join(links.select(F.col("a").alias("id")).distinct(), "id", "left_anti")
-        if keys.isEmpty():
+        if live.isEmpty():
             break
-    return found
-
-
-def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, budget: int = 2) -> DataFrame:
+        fame = live.groupBy("id").agg(F.sum("size").alias("fame"))
+        led = live.join(fame, "id").groupBy("token").agg(F.min(F.struct((-F.col("fame")).alias("f"), "id", "n")).alias("x"), F.count("*").alias("weight"))
+        led = materialise(led.select("token", F.col("x.id").alias("leader"), F.col("x.n").alias("m"), "weight"), "leaders")
+        met = materialise(lookup(live.drop("size"), led, "token", "weight").where("id <> leader"), "followers")
+        near = met.where(F.least("n", "m") >= low * F.greatest("n", "m") - SLACK)
+        sims = alike(near.select(F.col("id").alias("a"), F.col("leader").alias("b")), texts, words, low)
+        linked = F.col("sim") >= similarity - SLACK
+        links.append(sims.where(linked).select("a", "b"))
+        seen = met.join(sims.withColumnsRenamed({"a": "id", "b": "leader"}), ["id", "leader"], "left").select("token", "leader", "id", "n", "pos", "sim")
+        seen = materialise(seen, "compared")
+        apart = F.col("a.sim") - F.col("b.sim") <= 1 - similarity + 1e-6
+        fringe = _crossed(seen.where(linked), seen.where(~linked), ["token", "leader"])
+        pairs.append(materialise(fringe.where(apart & _may_be_alike(similarity)).select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct(), "pairs"))
+        rest = seen.where(F.col("sim").isNull() | ~linked).select("id", "n", "pos", "token")
+        left = materialise(rest.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "shingle-sizes")
+        rest = materialise(lookup(rest, left, "token", "size").select("id", "n", "pos", "token", "size"), "shingles")
+        pairs.append(_pairs(rest.where(F.col("size") <= crowd).drop("size"), similarity))
+        live = rest.where(F.col("size") > crowd)
+    else:
+        pairs.append(_pairs(live.drop("size"), similarity, crowded=True))
+    found = alike(reduce(DataFrame.union, pairs), texts, words, similarity).select("a", "b")
+    return reduce(DataFrame.union, links, found)
+
+
+def _pairs(keyed: DataFrame, similarity: float, crowded: bool = False) -> DataFrame:
+    """Pairs ``(a, b)`` of ids that share a shingle and may be alike. ``crowded``: a shingle may have any number of texts."""
+    if crowded:
+        met = _crossed(keyed, keyed, ["token"])
+    else:
+        side = lambda name: keyed.select("token", F.struct("id", "n", "pos").alias(name))
+        met = side("a").join(side("b"), "token")
+    found = met.where((F.col("a.id") < F.col("b.id")) & _may_be_alike(similarity))
+    return materialise(found.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "pairs")
+
+
+def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of each group of near-duplicates.
 
-    Candidates come from the trie join of fingerprints within ``budget`` bits and from ``leader_links``; all links are between texts
-    that are ``similarity`` alike. Texts of equal wide fingerprints are the same. Rows without an id stay; of rows with the same id one stays.
+    Groups are the components of all pairs of texts that are ``similarity`` alike. Texts of equal shingle sets are the same.
+    Rows without an id stay; of rows with the same id one stays.
     """
     source = private(docs, id=id_col, text=text_col).where("id is not null").withColumn("text", F.col("text").cast("binary"))
-    marks = materialise(fingerprints(docs, id_col=id_col, text_col=text_col, words=words, lanes=LANES, anchors=ANCHORS).where("id is not null"), "marks")
-    texts = materialise(marks.groupBy("wide").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("anchors").alias("anchors")), "texts")
-    nodes = texts.groupBy("fp").agg(F.min("id").alias("id"))
-    same = texts.join(nodes.withColumnRenamed("id", "b"), "fp").where("id <> b").select(F.col("id").alias("a"), "b")
-    near = alike(trie_links(nodes, budget).union(same), source, words, similarity)
-    links = near.union(leader_links(texts, source, words, similarity))
-    roots = connected_components(links)
+    marks = materialise(prefixes(source, words, similarity, common_shingles(source, words)), "marks")
+    texts = materialise(marks.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).drop("digest"), "texts")
+    roots = connected_components(similar_links(texts, source, words, similarity))
     kept = texts.join(roots, texts["id"] == roots["node"], "left").where("root is null or root = id").select("id")
     left = without(docs, id_col, marks.select("id").distinct().join(kept, "id", "left_anti"))
     if marks.groupBy("id").count().where("count > 1").isEmpty():

@@ -143,6 +143,16 @@ def test_deduplicate_keeps_one_of_each_group_and_clean_documents(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [own[0] for own in groups]
 
 
+def kept_of(spark, texts):
+    return sorted(r.doc_id for r in simhash.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+
+
+def test_texts_of_equal_fingerprints_are_compared(spark):
+    texts = [" ".join([f"{k}{i}" for i in range(60)] + ["-"] * 200) for k in "ab"]
+    assert jaccard(*texts) < 0.1
+    assert kept_of(spark, texts) == [0, 1]
+
+
 def test_deduplicate_edge_cases(docs):
     kept = [r.doc_id for r in simhash.deduplicate(docs).select("doc_id").collect()]
     assert sorted(i for i in kept if i is not None) == [1, 3, 6, 7, 8, 9, 10, 11, 13]
