@@ -153,6 +153,15 @@ def test_texts_of_equal_fingerprints_are_compared(spark):
     assert kept_of(spark, texts) == [0, 1]
 
 
+def test_repeated_lines_and_short_texts_lose_no_link(spark):
+    line = " ".join(f"l{i}" for i in range(9))
+    long = " ".join(f"t{i}" for i in range(300))
+    short = [" ".join(f"s{k}x{i}" for i in range(8 + more)) for k in range(40) for more in (0, 1)]
+    texts = [f"{long} {line}", f"{long} " + f"{line} " * 20, *short]
+    assert jaccard(*texts[:2]) >= 0.8 and jaccard(*short[:2]) >= 0.8
+    assert kept_of(spark, texts) == list(range(0, len(texts), 2))
+
+
 def test_deduplicate_edge_cases(docs):
     kept = [r.doc_id for r in simhash.deduplicate(docs).select("doc_id").collect()]
     assert sorted(i for i in kept if i is not None) == [1, 3, 6, 7, 8, 9, 10, 11, 13]
