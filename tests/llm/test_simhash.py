@@ -162,6 +162,17 @@ def test_repeated_lines_and_short_texts_lose_no_link(spark):
     assert kept_of(spark, texts) == list(range(0, len(texts), 2))
 
 
+def test_a_common_passage_loses_no_link(spark):
+    rng, passage, texts = random.Random(9), [f"p{i}" for i in range(100)], []
+    for d in range(150):
+        own = [f"d{d}x{i}" for i in range(40)]
+        again = list(own)
+        again[rng.randrange(40)] = "edit"
+        texts += [" ".join(own + passage), " ".join(again + passage)]
+    near = [jaccard(*texts[i : i + 2]) >= 0.8 for i in range(0, 300, 2)]
+    assert kept_of(spark, texts) == sorted([*range(0, 300, 2), *[2 * i + 1 for i, n in enumerate(near) if not n]])
+
+
 def test_deduplicate_edge_cases(docs):
     kept = [r.doc_id for r in simhash.deduplicate(docs).select("doc_id").collect()]
     assert sorted(i for i in kept if i is not None) == [1, 3, 6, 7, 8, 9, 10, 11, 13]
