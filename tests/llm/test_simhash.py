@@ -173,6 +173,19 @@ def test_a_common_passage_loses_no_link(spark):
     assert kept_of(spark, texts) == sorted([*range(0, 300, 2), *[2 * i + 1 for i, n in enumerate(near) if not n]])
 
 
+def test_copies_of_copies_stay_linked(spark):
+    rng, texts, chains = random.Random(11), [], []
+    for g in range(40):
+        hub = [f"g{g}w{i}" for i in range(200)]
+        places = rng.sample(range(0, 200, 5), 8)
+        edited = lambda at: " ".join("edit" if i in at else w for i, w in enumerate(hub))  # noqa: E731, B023
+        chains.append(len(texts))
+        texts += [edited(places[:4]), edited(places)]
+        texts += [" ".join(hub)] + [edited(rng.sample(range(200), 1)) for _ in range(40)]
+    assert all(jaccard(texts[i], texts[i + 1]) >= 0.8 > jaccard(texts[i + 1], texts[i + 2]) for i in chains)
+    assert kept_of(spark, texts) == chains
+
+
 def test_deduplicate_edge_cases(docs):
     kept = [r.doc_id for r in simhash.deduplicate(docs).select("doc_id").collect()]
     assert sorted(i for i in kept if i is not None) == [1, 3, 6, 7, 8, 9, 10, 11, 13]
