@@ -6,7 +6,9 @@ prefix's encoding is the one vocabulary entry that ends there and fits after the
 prefix before it, and a prefix's count is one more than that prefix's. The states of all prefixes of a
 word are kept in a memo, which words with a common beginning share; the pair checks are kept too. A
 text's count is the running sum over its words as the tokenizer splits them, and the sums are kept, so
-that questions about truncation and budgets look counts up and never encode again.
+that questions about truncation and budgets look counts up and never encode again. Words longer than
+``LONG`` bytes are passed through by an automaton of all tokens, which keeps only a window of their states:
+time is linear in a word's length, and memory is not bound to it.
 
 Defined results: a null text is empty and has no tokens; special strings inside texts are single tokens,
 as the library has it by default; texts of any length are taken whole; memos are emptied when they are
@@ -16,11 +18,13 @@ full, which costs time and changes nothing; repeated rows and ids are counted ro
 from __future__ import annotations
 
 import json
+from array import array
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import cached_property, lru_cache
 from itertools import accumulate
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -34,10 +38,16 @@ LIMIT = 512
 MEMO = 400_000
 #: Bytes of a word whose prefixes are kept in the memo.
 LONG = 64
+#: States of a long word that are kept before those out of any token's reach go.
+STATES = 1 << 16
 #: The byte-level pre-tokenizer's pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: What follows the apostrophe in the pattern's contractions.
+CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
+
+
 def _byte_letters() -> dict[str, int]:
     """The byte that each letter of the vocabulary file stands for: printable ones themselves, the others from 256 on."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -53,6 +63,8 @@ class _Memo(dict):
         self.owner = owner
 
     def __missing__(self, word: str) -> int:
+        if len(word) > LONG:
+            return 1 if word in self.owner.specials else self.owner.state(word.encode())[0]
         if len(self) >= MEMO:
             self.clear()
         # a special string is one token; no ordinary word is spelled like it
@@ -74,6 +86,7 @@ class PrefixCounter:
         self.tokens = {raw(t) for t, i in model["model"]["vocab"].items() if t not in specials}
         self.longest = max(map(len, self.tokens))
         self.find = regex.compile(PATTERN).findall
+        self.blank = regex.compile(r"\s+").fullmatch
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")") if specials else None
         self.specials = tuple(specials)
         self.memo = _Memo(self)
@@ -112,10 +125,60 @@ class PrefixCounter:
             memo[short[:end]] = self._next(short, end, lambda start: memo[short[:start]] if start else (0, b""))
         if len(word) <= LONG:
             return memo[word] if word else (0, b"")
-        states = [(0, b""), *(memo[short[:end]] for end in range(1, LONG + 1))]
-        for end in range(LONG + 1, len(word) + 1):
-            states.append(self._next(word, end, states.__getitem__))
-        return states[-1]
+        for count, size in self.scan(word):
+            pass
+        return count, word[len(word) - size :]
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Finds the tokens that end at each place, the longest first."""
+        made = ahocorasick.Automaton()
+        for token in self.tokens:
+            made.add_word(token.decode("latin-1"), token)
+        made.make_automaton()
+        return made
+
+    def scan(self, word: bytes) -> Iterator[tuple[int, int]]:
+        """(tokens, bytes of the last token) of each prefix of a word, one after another."""
+        counts, sizes, base, done, pairs = array("q", [0]), array("l", [0]), 0, 0, self._pairs
+        for at, token in self.automaton.iter(word.decode("latin-1")):
+            if at < done:
+                continue
+            if at > done:
+                break
+            start = at + 1 - len(token)
+            last = word[start - sizes[start - base] : start]
+            fits = pairs.get((last, token))
+            if fits or fits is None and self._fits(last, token):
+                counts.append(counts[start - base] + 1)
+                sizes.append(len(token))
+                done = at + 1
+                yield counts[-1], sizes[-1]
+                if len(counts) > STATES + self.longest:
+                    counts, sizes = counts[-self.longest - 1 :], sizes[-self.longest - 1 :]
+                    base = done + 1 - len(counts)
+        if done < len(word):
+            raise ValueError("the vocabulary lacks a byte")
+
+    def longest_prefix(self, word: str, room: int, but: Collection[int] = ()) -> int:
+        """Characters of the longest prefix of a word with at most ``room`` tokens, those of ``but`` characters aside; 0 if none has."""
+        if word in self.specials:
+            return len(word) if room > 0 else 0
+        data = word.encode()
+        if len(data) <= LONG:
+            self.state(data)
+            counts = (self._states[data[:end]][0] for end in range(1, len(data) + 1))
+        else:
+            counts = (count for count, _ in self.scan(data))
+        best = chars = 0
+        for end, count in enumerate(counts, 1):
+            if end > room * self.longest:  # no tokens so few reach so far
+                break
+            if end == len(data) or data[end] & 0xC0 != 0x80:  # a character ends here
+                chars += 1
+                if count <= room and chars not in but:
+                    best = chars
+        return best
 
     def _next(self, word: bytes, end: int, before) -> tuple[int, bytes]:
         """State of the prefix up to ``end``, from those of shorter ones."""
@@ -172,14 +235,32 @@ class PrefixCounts:
         k = max(0, k - 2)
         return self.sums[k] + sum(self.counter.counts(self.text[self.ends[k] : chars]))
 
+    def _odd(self, j: int) -> Collection[int]:
+        """Lengths at which word ``j`` may be cut so that the tokenizer splits what is left in another way: a special string or a
+        contraction cut off, or white space that joins the white space before it."""
+        word, before = self.words[j], self.words[j - 1] if j else ""
+        if word in self.counter.specials or word[0] == "'" and word[1:] in CONTRACTIONS:
+            return range(1, len(word))
+        if not before or not self.counter.blank(before):
+            return ()
+        return range(1, len(word) + 1) if self.counter.blank(word) else (1,) if word[0] == " " else ()
+
     def truncate(self, budget: int) -> int:
-        """Characters of the longest prefix with at most ``budget`` tokens."""
+        """Characters of the longest prefix with at most ``budget`` tokens.
+
+        Counts at the places of a word are its prefixes' states. Counts can fall as a word grows, so all of the word that meets the
+        budget is looked through; at the few odd lengths, also of the two words after it, the tail is split anew.
+        """
         if self.total <= budget:
             return len(self.text)
         k = bisect_right(self.sums, budget) - 1
-        reach = self.ends[min(k + 3, len(self.words))]
-        floor = self.ends[max(0, k - 2)]
-        return next((c for c in range(reach, floor, -1) if self.count(c) <= budget), floor if self.count(floor) <= budget else 0)
+        for j in range(min(k + 2, len(self.words) - 1), -1, -1):
+            first, odd = self.ends[j], self._odd(j)
+            best = self.counter.longest_prefix(self.words[j], budget - self.sums[j], odd) if j <= k else 0
+            better = next((i for i in reversed(odd) if i > best and self.count(first + i) <= budget), best)
+            if better:
+                return first + better
+        return 0
 
 
 @lru_cache(maxsize=2)

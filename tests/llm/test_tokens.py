@@ -1,4 +1,6 @@
+import base64
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -33,6 +35,43 @@ def test_every_prefix_and_truncation(seed):
         assert known.truncate(budget) == max(n for n, c in enumerate(exact) if c <= budget)
 
 
+def test_random_cuts():
+    rng = random.Random(3)
+    pieces = ["a", "the", " ", "  ", "\n", "'s", "'re", "'", "!!", "<|endoftext|>", "é", "中", "12", " word", "\t", "    ", "x'll", "---"]
+    for _ in range(400):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 14)))
+        known, exact = COUNTER.prefixes(text), [library(text[:n]) for n in range(len(text) + 1)]
+        for budget in (0, 1, 2, 3, 5, 8):
+            assert known.truncate(budget) == max(n for n, c in enumerate(exact) if c <= budget)
+
+
+@pytest.mark.parametrize("kind", ["letters", "han", "base64", "spaces", "dashes", "after"])
+def test_long_words_take_linear_time(kind):
+    rng = random.Random(4)
+    letters = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=20_000))
+    text = {
+        "letters": letters,
+        "han": "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(20_000)),
+        "base64": "".join(c for c in base64.b64encode(rng.randbytes(750_000)).decode() if c.isalpha()),
+        "spaces": " " * 20_000 + "<|endoftext|>x",
+        "dashes": "-" * 200_000,
+        "after": "some words before " * 100 + letters + "<|endoftext|>" * 600,
+    }[kind]
+    began = time.perf_counter()
+    known = COUNTER.prefixes(text)
+    cuts = {budget: known.truncate(budget) for budget in (1, 300, 512)}
+    assert time.perf_counter() - began < 60
+    assert known.total == library(text)
+    for budget, cut in cuts.items():
+        assert library(text[:cut]) <= budget < library(text[: cut + 1])
+
+
+def test_window_of_states(monkeypatch):
+    monkeypatch.setattr(tokens, "STATES", 10)
+    word = "".join(random.Random(5).choices("abcdefgh", k=3000))
+    assert tokens.PrefixCounter(PATH).prefixes(word).total == library(word)
+
+
 def test_full_memos_change_nothing(monkeypatch):
     monkeypatch.setattr(tokens, "MEMO", 5)
     own = tokens.PrefixCounter(PATH)
