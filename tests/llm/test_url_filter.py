@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -64,3 +65,17 @@ def test_frames(spark):
     got = sorted(((r.id, r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, URL_RULES).collect()), key=repr)
     assert got == sorted(((r[0], *brute(r[1], URL_RULES)) for r in rows), key=repr)
     assert url_filter.judge(pages.limit(0), URL_RULES).count() == 0
+
+
+def test_long_hosts_cost_no_more_than_rules(tmp_path, monkeypatch):
+    hosts = ["a." * 50_000 + "net", "." * 50_000 + "net", "a" * 100_000 + ".example.net", "b." * 100_000]
+    urls = [f"http://{h}/en/{'x' * n}" for h in hosts for n in (0, 50_000)]
+    known = filter_file(tmp_path, url_filter.build(URL_RULES))
+    whole = known.judge(urls)
+    assert whole == [brute(u, URL_RULES) for u in urls]
+    tracemalloc.start()
+    known.judge(urls)
+    assert tracemalloc.get_traced_memory()[1] < 20 * sum(map(len, urls))
+    tracemalloc.stop()
+    monkeypatch.setattr(url_filter, "SLICE_BYTES", 100)
+    assert known.judge(urls + URLS) == whole + [brute(u, URL_RULES) for u in URLS]
