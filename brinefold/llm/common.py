@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _OWN_DIR: dict[str, str] = {}
 
@@ -47,7 +48,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.written_to = path
+    return made
+
+
+def discard(table: DataFrame | None) -> None:
+    """Delete a written table that no plan needs any more."""
+    if table is not None:
+        drop_path(table.sparkSession, table.written_to)
 
 
 def private(df: DataFrame, **columns: str) -> DataFrame:
@@ -55,19 +64,38 @@ def private(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
-#: Ids that may be broadcast to every task: some 16 MB of them.
+#: Ids or keys of rows that may be broadcast to every task: some 30 MB of them.
 MAX_BROADCAST_IDS = 1_000_000
 
 
-def without(docs: DataFrame, id_col: str, gone: DataFrame, max_broadcast: int = MAX_BROADCAST_IDS) -> DataFrame:
-    """``docs`` but for rows whose id is in ``gone``'s only column; rows without an id stay.
+def hashable(field: T.StructField) -> Column:
+    """The column, or its spelling if there are maps or variants in it, which have no hash."""
+    spelled = any(kind in str(field.dataType.jsonValue()) for kind in ("'map'", "variant"))
+    return F.col(f"`{field.name}`").cast("string") if spelled else F.col(f"`{field.name}`")
+
+
+def with_row_key(docs: DataFrame, id_col: str, *judged: str) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, and its name: what tells rows apart for an operator that looks at ``judged`` columns.
+
+    It holds the id, of any type, and a hash of the others, so that rows are judged as rows where ids repeat or are null.
+    """
+    key = "__row"
+    while key in docs.columns:
+        key += "_"
+    return docs.withColumn(key, F.struct(F.col(f"`{id_col}`").alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in judged]).alias("mark"))), key
+
+
+def without_rows(docs: DataFrame, key: str, gone: DataFrame, max_broadcast: int = MAX_BROADCAST_IDS) -> DataFrame:
+    """``docs`` but for rows whose ``key`` (see ``with_row_key``) is in ``gone``'s only column.
 
-    The ids are written and counted first. Up to ``max_broadcast`` of them go to all tasks, and the documents
+    The keys are written and counted first. Up to ``max_broadcast`` of them go to all tasks, and the documents
     with their texts stay where they are; more of them meet the documents in a shuffle.
     """
-    listed = materialise(gone.select(F.col(gone.columns[0]).alias("__gone")).where("__gone is not null").distinct(), "gone")
+    name = gone.columns[0]
+    listed = materialise(gone.select(F.col(f"{name}.id").alias("__gone"), F.col(f"{name}.mark").alias("__mark")).distinct(), "gone")
     known = F.broadcast(listed) if listed.count() <= max_broadcast else listed
-    return docs.join(known, docs[f"`{id_col}`"] == known["__gone"], "left_anti")
+    own = F.col(key)
+    return docs.join(known, own["id"].eqNullSafe(F.col("__gone")) & (own["mark"] == F.col("__mark")), "left_anti")
 
 
 #: Keys whose rows meet the other side through a broadcast: that many at most, whatever the size of the data.
@@ -104,7 +132,8 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         small_least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(small_least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-        links = materialise(small.where("a <> b").distinct(), "links")
+        before, links = links, materialise(small.where("a <> b").distinct(), "links")
+        discard(before)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(now) == mark:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(

@@ -12,19 +12,22 @@ source has: counts of (source, bucket) are combined map-side and summed up in or
 are only ever sorted within a bucket, so that a source with a third of all rows crowds no task.
 
 Defined results: sources without a weight, null ones too, share the weight ``other`` as one group; rows
-with equal ids are ordered by a hash of their other columns and each keeps its own place; an empty table
-gives an empty table; input columns with the names of the added ones are replaced.
+with equal or null ids are dealt out and ordered by a hash of all their columns, of any type, and each keeps its own
+place (only rows that are equal in every column share a bucket); an empty table gives an empty table; input columns
+with the names of the added ones are replaced.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import window as W
 
+from .common import hashable
+
 #: Target weights of the synthetic sources, and of all others together: slots of 100.
 WEIGHTS = {"src0": 20} | {f"src{i}": 4 for i in range(1, 20)}
 OTHER = 4
@@ -33,16 +36,23 @@ BLOCK_ROWS = 8
 BUCKET_ROWS = 2000
 #: Buckets whose counts are summed up together.
 SPAN = 1024
+#: Slots of all phases together, as each source that ends begins another: what the driver simulates and tasks look up.
+MAX_SLOTS = 2_000_000
 ADDED = ("mix_group", "mix_block", "mix_slot", "mix_position")
 
 
 def period(weights: dict[str, int]) -> dict[str, list[int]]:
     """Slots of each group's blocks within one period, earliest deadline first."""
-    total = sum(weights.values())
-    slots: dict[str, list[int]] = {g: [] for g in weights}
+    total, slots = sum(weights.values()), {g: [] for g in weights}
+    waiting, ready = [(0, g) for g in weights], []  # by release, by deadline
     for t in range(total):
-        ready = [(math.ceil((len(s) + 1) * total / weights[g]) if (len(s) + 1) * total % weights[g] else (len(s) + 1) * total // weights[g], g) for g, s in slots.items() if len(s) < weights[g] and len(s) * total // weights[g] <= t]
-        slots[min(ready)[1]].append(t)
+        while waiting and waiting[0][0] <= t:
+            group = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-(-(len(slots[group]) + 1) * total // weights[group]), group))
+        group = heapq.heappop(ready)[1]
+        slots[group].append(t)
+        if len(slots[group]) < weights[group]:
+            heapq.heappush(waiting, (len(slots[group]) * total // weights[group], group))
     return slots
 
 
@@ -69,8 +79,8 @@ def phases(blocks: dict[str, int], weights: dict[str, int]) -> list[tuple]:
 def mix(docs: DataFrame, *, weights: dict[str, int] | None = None, other: int = OTHER, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source", seed: int = 7, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``docs`` with ``mix_group``, ``mix_block`` (number in its group), ``mix_slot`` (from 0) and ``mix_position`` (from 0, without gaps between blocks of full size)."""
     weights = dict(WEIGHTS if weights is None else weights)
-    if min([other, *weights.values()]) < 1 or len(weights) > 1000 or sum(weights.values()) + other > 100_000:
-        raise ValueError("weights must be whole numbers from 1, for at most 1000 sources and 100000 slots a period")
+    if min([other, *weights.values()]) < 1 or len(weights) > 1000 or (len(weights) + 1) * (sum(weights.values()) + other) > MAX_SLOTS:
+        raise ValueError(f"weights must be whole numbers from 1, for at most 1000 sources; sources (and the others) times slots of a period may be {MAX_SLOTS}")
     spark, named = docs.sparkSession, list(weights)
     docs = docs.drop(*ADDED)
     aside = {c: f"user{c}" for c in docs.columns if c.startswith("__")}  # names that helper columns could clash with
@@ -83,8 +93,8 @@ def mix(docs: DataFrame, *, weights: dict[str, int] | None = None, other: int =
     counts = {r[0]: r[1] for r in docs.select(group.alias("g")).groupBy("g").count().collect()}  # a row for each of at most 1001 groups
     buckets = {g: math.ceil(n / bucket_rows) for g, n in counts.items()}
     own = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for g in buckets for x in (g, buckets[g])]), group), F.lit(1)) if buckets else F.lit(1)
-    bucket = F.pmod(F.shiftright(mark, 7), own)
-    rest = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    rest = F.xxhash64(*[hashable(f) for f in docs.schema])
+    bucket = F.pmod(F.shiftright(F.xxhash64(mark, rest), 7), own)
     rows = docs.select("*", group.alias("mix_group"), bucket.alias("__bucket"), mark.alias("__mark"), rest.alias("__rest"))
     sizes = docs.select(group.alias("mix_group"), bucket.alias("__bucket")).groupBy("mix_group", "__bucket").count().withColumn("__span", F.floor(F.col("__bucket") / SPAN))
     earlier = lambda c, key, by: F.coalesce(F.sum(c).over(W.Window.partitionBy(*key).orderBy(by).rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0))

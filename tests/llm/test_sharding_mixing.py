@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brinefold.llm import mixing, sharding
+from brinefold.llm.common import hashable
 from brinefold.llm.queries import ORACLE_SQL, QUERIES
 
 
@@ -86,6 +87,43 @@ def test_phases_place_each_block_once():
         assert sorted(slots) == list(range(sum(blocks.values())))
 
 
+def slot_by_slot(blocks, weights):
+    """(group, block) of each slot: at every slot each group with blocks left may run the next one whose window has begun, the earliest deadline first."""
+    left, done, base, order = dict(blocks), dict.fromkeys(blocks, 0), 0, []
+    got = dict.fromkeys(blocks, 0)  # since the last group ended
+    while any(left.values()):
+        active = [g for g in left if left[g]]
+        total = sum(weights[g] for g in active)
+        now = len(order) - base
+        ready = [g for g in active if Fraction(got[g] * total, weights[g]) < now + 1]
+        chosen = min(ready, key=lambda g: (math.ceil(Fraction((got[g] + 1) * total, weights[g])), g))
+        order.append((chosen, done[chosen]))
+        done[chosen], got[chosen], left[chosen] = done[chosen] + 1, got[chosen] + 1, left[chosen] - 1
+        if not left[chosen]:
+            base, got = len(order), dict.fromkeys(blocks, 0)
+    return order
+
+
+def test_phases_equal_a_slot_by_slot_run():
+    rng = random.Random(5)
+    for _ in range(200):
+        weights = {f"g{i}": rng.randint(1, 9) for i in range(rng.randint(1, 6))}
+        blocks = {g: rng.randint(0, 40) for g in weights}
+        placed = {}
+        for g, first, end, start, w, total, own in mixing.phases(blocks, weights):
+            placed |= {start + (j - first) // w * total + own[(j - first) % w]: (g, j) for j in range(first, end)}
+        assert [placed[t] for t in sorted(placed)] == slot_by_slot(blocks, weights)
+
+
+def test_null_and_equal_ids_are_dealt_out(spark):
+    kinds = "doc_id long, source string, text string, m map<string,int>, a array<map<string,int>>, s struct<x:map<int,int>>"
+    rows = [(None if i % 2 else 1, "src0", f"text {i}", {"k": i}, [{"k": i}], ({1: i},)) for i in range(4000)] + [(None, None, None, None, None, None)] * 3
+    got = mixing.mix(spark.createDataFrame(rows, kinds), bucket_rows=100)
+    assert got.count() == len(rows) and got.select("mix_position").distinct().count() == len(rows)
+    keyed = spark.createDataFrame(rows, kinds).select(F.pmod(F.shiftright(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), *[hashable(f) for f in spark.createDataFrame(rows, kinds).schema]), 7), F.lit(40)).alias("b"))
+    assert keyed.groupBy("b").count().agg(F.max("count")).first()[0] < 200
+
+
 def test_mixture_keeps_rows_and_shares(spark):
     rng = random.Random(2)
     rows = [(i, rng.choice(["a"] * 6 + ["b", "c", None]), "clash") for i in range(3000)] + [(7, "a", "clash"), (7, "a", "clash"), (None, "b", "clash")]
@@ -114,7 +152,7 @@ def test_mixture_keeps_rows_and_shares(spark):
 def test_mixture_edge_cases(spark):
     empty = spark.createDataFrame([], "doc_id long, source string")
     assert mixing.mix(empty).count() == 0
-    for bad in ({"weights": {"a": 0}}, {"other": 0}, {"weights": {"a": 10**6}}):
+    for bad in ({"weights": {"a": 0}}, {"other": 0}, {"weights": {"a": 10**6}}, {"weights": {f"s{i}": 90 for i in range(1000)}}):
         with pytest.raises(ValueError):
             mixing.mix(empty, **bad)
 
