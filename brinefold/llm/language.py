@@ -12,7 +12,8 @@ their ids; everything else covers all rows.
 
 Defined results: a text without letters (null, empty, digits) is ``und`` with posterior 0 and rejected; a
 null host or suffix is one of its own; a declared language that no model has counts as ``other``, a null or
-empty one as none; equal posteriors go to the language that sorts first; repeated rows count each.
+empty one as none; equal posteriors go to the language that sorts first; repeated rows count each; ids may be of any
+type, repeated or null: ``keep_identified`` judges rows, not ids.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, private, without
+from .common import materialise, private, with_row_key, without_rows
 
 SAMPLE_ROWS = 4000
 BUCKETS = 1 << 15
@@ -195,7 +196,8 @@ def document_evidence(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
 
 def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", **names: str) -> DataFrame:
-    """``docs`` without those whose language stays undetermined or unsure. Rows without an id stay."""
-    model = fit(docs, id_col=id_col)
-    judged = identify(document_evidence(docs, id_col=id_col, **names), model)
-    return without(docs, id_col, judged.where(~F.col("accepted")).select("key"))
+    """``docs`` without the rows whose language stays undetermined or unsure, each judged by its own text, declaration and source."""
+    used = {"text_col": "text", "declared_col": "lang", "source_col": "source"} | names
+    marked, key = with_row_key(docs, id_col, *used.values())
+    judged = identify(document_evidence(marked, id_col=key, **used), fit(docs, id_col=id_col, text_col=used["text_col"], label_col=used["declared_col"]))
+    return without_rows(marked, key, judged.where(~F.col("accepted")).select("key")).drop(key)

@@ -22,12 +22,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import window as W
 
-from .common import MAX_BROADCAST_IDS, connected_components, lookup, materialise, private, without
+from .common import MAX_BROADCAST_IDS, connected_components, discard, hashable, lookup, materialise, private, with_row_key, without_rows
 
 BITS = 64
 SEED = 42
@@ -36,6 +38,8 @@ BLOCK = 1 << 15
 #: Fingerprints in a unit before it is split further, and bits by which it is split.
 UNIT_CAP = 16_384
 SPLIT_BITS = 7
+#: Fingerprints whose units are joined at a time in a task.
+SLICE = 1 << 15
 #: Of deduplication by similarity: words of a shingle, and the Jaccard similarity of shingle sets.
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -178,8 +182,12 @@ def trie_links(nodes: DataFrame, budget: int, *, unit_cap: int = UNIT_CAP) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                lists = batch.column(0).slice(at, 512)
+            ends = np.cumsum(pa.compute.list_value_length(batch.column(0)).to_numpy())
+            at = 0
+            while at < batch.num_rows:  # as many units as hold about SLICE fingerprints, but one at least
+                held = ends[at - 1] if at else 0
+                more = max(at + 1, int(np.searchsorted(ends, held + SLICE, "right")))
+                lists, at = batch.column(0).slice(at, more - at), more
                 sizes = np.diff(lists.offsets.to_numpy())
                 flat = lists.flatten()
                 ids, keys, side = flat.field("id").to_numpy(), flat.field("key").to_numpy().view(np.uint64), flat.field("side").to_numpy()
@@ -216,9 +224,11 @@ def trie_links(nodes: DataFrame, budget: int, *, unit_cap: int = UNIT_CAP) -> Da
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, budget: int = 2, unit_cap: int = UNIT_CAP) -> DataFrame:
     """``id``, ``fp`` and ``component_id`` (the smallest id that links of at most ``budget`` bits reach) for every row."""
     marks = materialise(fingerprints(docs, id_col=id_col, text_col=text_col, words=words), "fingerprints")
-    nodes = materialise(marks.groupBy("fp").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "nodes")
-    roots = connected_components(trie_links(nodes.select("id", "fp"), budget, unit_cap=unit_cap))
-    named = materialise(nodes.join(roots, nodes.id == roots.node, "left").select("fp", F.coalesce("root", nodes.id).alias("component_id"), "copies"), "components")
+    nodes = materialise(marks.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("copies")), "nodes")
+    roots = connected_components(trie_links(nodes.select(F.col("fp").alias("id"), "fp"), budget, unit_cap=unit_cap))
+    rooted = materialise(nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", "copies", F.coalesce("root", "fp").alias("root")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = materialise(rooted.join(least, "root").select("fp", "component_id", "copies"), "components")
     return lookup(marks, named, "fp", "copies").select("id", "fp", "component_id")
 
 
@@ -237,19 +247,19 @@ def common_shingles(source: DataFrame, words: int, *, sample: int = SAMPLE, most
 
 
 def prefixes(source: DataFrame, words: int, similarity: float, common: np.ndarray) -> DataFrame:
-    """``id``, ``digest`` of the shingle set (128 bits), its size ``n``, and ``prefix``: its first shingles in one order of all shingles.
+    """``source`` without its ``text``, and ``digest`` of the shingle set (128 bits), its size ``n``, and ``prefix``: its first shingles in one order of all shingles.
 
     The order puts ``common`` ones last. Two sets that are ``similarity`` alike share a shingle of their prefixes, whatever the order:
     a prefix is as long as all but one of the shingles that the set may lack.
     """
     order = np.argsort(common)
     known, rank = common[order], order + 1
-    fields = [source.schema["id"], T.StructField("digest", T.BinaryType()), T.StructField("n", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
+    fields = [*source.drop("text").schema, T.StructField("digest", T.BinaryType()), T.StructField("n", T.IntegerType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, sizes, firsts = [], [], []
-            for x in batch.column(1):
+            for x in batch.column(batch.num_columns - 1):
                 own = shingle_set(x.as_py(), words)
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 sizes.append(len(own))
@@ -257,9 +267,9 @@ def prefixes(source: DataFrame, words: int, similarity: float, common: np.ndarra
                     at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                     own = own[np.argsort(np.where(known[at] == own, rank[at], 0), kind="stable")]
                 firsts.append(own[: len(own) - math.ceil(similarity * len(own) - SLACK) + 1].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], names=[f.name for f in fields])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], names=[f.name for f in fields])
 
-    return source.select("id", "text").mapInArrow(run, T.StructType(fields))
+    return source.select(*[f.name for f in fields[:-3]], "text").mapInArrow(run, T.StructType(fields))
 
 
 def alike(links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -270,7 +280,7 @@ def alike(links: DataFrame, texts: DataFrame, words: int, similarity: float) ->
     links = materialise(links.select("a", "b").distinct(), "candidates")
     wanted = materialise(links.select(F.col("a").alias("want")).union(links.select("b")).distinct(), "wanted")
     known = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_IDS else wanted
-    own = materialise(texts.join(known, F.col("id") == F.col("want"), "left_semi").dropDuplicates(["id"]), "wanted-texts")
+    own = materialise(texts.join(known, F.col("id") == F.col("want"), "left_semi").select("id", "text").dropDuplicates(["id"]), "wanted-texts")
     sides = links.join(own.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,19 +378,41 @@ def _pairs(keyed: DataFrame, similarity: float, crowded: bool = False) -> DataFr
     return materialise(found.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "pairs")
 
 
+def _numbered(docs: DataFrame, key: str, text_col: str, words: int, similarity: float) -> tuple[DataFrame, DataFrame, bool]:
+    """``id`` (a number), ``row`` and ``text`` of all rows with an id; what ``prefixes`` says of them; whether rows repeat.
+
+    The number is a hash of the row's key. If two keys ever share one, all are hashed anew.
+    """
+    seed, common = 0, None
+    while True:
+        source = docs.where(F.col(key)["id"].isNotNull()).select(F.xxhash64(F.lit(seed), F.col(key)).alias("id"), F.col(key).alias("row"), F.col(f"`{text_col}`").cast("binary").alias("text"))
+        common = common_shingles(source, words) if common is None else common
+        marks = materialise(prefixes(source, words, similarity, common), "marks")
+        shared = marks.groupBy("id").agg(F.count("*").alias("n"), F.min("row").alias("lo"), F.max("row").alias("hi")).where("n > 1")
+        twice, clashes = shared.agg(F.count("*"), F.count_if(F.col("lo") != F.col("hi"))).first()
+        if not clashes:
+            return source, marks, bool(twice)
+        discard(marks)
+        seed += 1
+
+
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document, that of the smallest id, of each group of near-duplicates.
+    """``docs`` with one row, that of the smallest id, of each group of near-duplicates.
 
     Groups are the components of all pairs of texts that are ``similarity`` alike. Texts of equal shingle sets are the same.
-    Rows without an id stay; of rows with the same id one stays.
+    Rows are judged by their own text, whatever ids they share; of rows equal in id and text that stays whose other
+    columns' hash is least. Rows without an id stay. Ids may be of any type that sorts.
     """
-    source = private(docs, id=id_col, text=text_col).where("id is not null").withColumn("text", F.col("text").cast("binary"))
-    marks = materialise(prefixes(source, words, similarity, common_shingles(source, words)), "marks")
-    texts = materialise(marks.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).drop("digest"), "texts")
-    roots = connected_components(similar_links(texts, source, words, similarity))
-    kept = texts.join(roots, texts["id"] == roots["node"], "left").where("root is null or root = id").select("id")
-    left = without(docs, id_col, marks.select("id").distinct().join(kept, "id", "left_anti"))
-    if marks.groupBy("id").count().where("count > 1").isEmpty():
-        return left
-    named = left.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col])
-    return named.union(left.where(F.col(f"`{id_col}`").isNull()))
+    marked, key = with_row_key(docs, id_col, text_col)
+    source, marks, repeated = _numbered(marked, key, text_col, words, similarity)
+    classes = marks.groupBy("digest").agg(F.min(F.struct("row", "id")).alias("least"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    texts = materialise(classes.select("least.id", "least.row", "n", "prefix"), "texts")
+    roots = connected_components(similar_links(texts.drop("row"), source, words, similarity))
+    rooted = texts.join(roots, texts["id"] == roots["node"], "left").select("id", "row", F.coalesce("root", "id").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min(F.struct("row", "id")).alias("least")).select("least.id")
+    left = without_rows(marked, key, marks.join(kept, "id", "left_anti").select("row"))
+    if repeated:
+        rows = W.Window.partitionBy(key).orderBy(F.xxhash64(*[hashable(f) for f in docs.schema]))
+        named = left.where(F.col(key)["id"].isNotNull()).withColumn(f"{key}n", F.row_number().over(rows)).where(f"{key}n = 1").drop(f"{key}n")
+        left = named.union(left.where(F.col(key)["id"].isNull()))
+    return left.drop(key)

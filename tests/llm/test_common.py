@@ -6,14 +6,16 @@ from pyspark.sql import functions as F
 from brinefold.llm import common
 
 
-def test_without_drops_listed_ids_either_way(spark):
-    docs = spark.createDataFrame([(i, "x") for i in [1, 2, 2, 3, None]], "doc_id long, __gone string")
-    gone = spark.createDataFrame([(2,), (2,), (9,), (None,)], "key long")
+def test_rows_go_and_not_ids(spark):
+    docs = spark.createDataFrame([(1, "x"), (2, "x"), (2, "x"), (2, "y"), (3, "x"), (None, "x"), (None, None)], "doc_id long, __row string")
+    marked, key = common.with_row_key(docs, "doc_id", "__row")
+    assert key == "__row_"
+    gone = marked.where("doc_id = 2 and __row = 'x' or doc_id is null and __row is null").select(F.col(key).alias("k"))
     for most in (10, 0):
-        left = common.without(docs, "doc_id", gone, most)
+        left = common.without_rows(marked, key, gone, most).drop(key)
         assert left.columns == docs.columns
-        assert sorted((r.doc_id for r in left.collect()), key=repr) == sorted([1, 3, None], key=repr)
-    assert common.without(docs, "doc_id", gone.limit(0)).count() == 5
+        assert sorted(map(tuple, left.collect()), key=repr) == sorted([(1, "x"), (2, "y"), (3, "x"), (None, "x")], key=repr)
+    assert common.without_rows(marked, key, gone.limit(0)).count() == 7
 
 
 @pytest.mark.parametrize("hot", [0, 1, 1000])
