@@ -2,12 +2,15 @@
 
 Fitting, on a bounded sample: the exact neighbour graph of the sample is cut into parts of equal size
 (recursive bisection by the graph's slowest-mixing direction, then swaps between parts that reduce the cut),
-and a small neural classifier learns each vector's share of neighbours in every part. Indexing: the
-classifier puts every row of the table into its most probable part. Searching: a query is routed to its
-most probable parts and reranked there by exact cosine in double precision. How many parts is measured
-when fitting: the fewest that hold ``TARGET`` of the true neighbours of sample vectors held out for it. (In a
-sample neighbours are farther away than in the table, so the table's recall is rather higher.) Vectors
-without any structure need most of the parts; no partition can spare them the work.
+and a small neural classifier learns each vector's share of neighbours in every part. Where the table has more than
+``LEAF_ROWS`` rows a part, each part is cut again in the same way, by a router fitted on a bounded sample of its own
+rows; those are fitted on executors. The number of parts thus grows with the table, to ``MAX_PARTS`` for each of the first 16.
+
+Indexing: the classifiers put every row of the table into its most probable part. Searching: a query is routed
+to its most probable parts, by the product of both levels' probabilities, and reranked there by exact cosine in double
+precision. How many parts is measured against the whole table: for up to ``ASKED`` sample vectors held out from
+fitting, the true neighbours among all rows are found in one pass, and the fewest parts that hold ``TARGET`` of them
+are taken. Vectors without any structure need most of the parts; no partition can spare them the work.
 
 Equal vectors are one class, which carries only the smallest ids that an answer could need, so a vector
 that is repeated without end costs no more than another. Parts are dealt out in chunks of bounded size,
@@ -15,7 +18,8 @@ for queries too, and only each chunk's nearest few are returned: tasks stay boun
 the number of queries.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components take no
-part, nor do those of another length than most; null ids take no part; a query's own id is never its answer, nor
+part, nor do those of another length than most; vectors are scaled by a power of two first, so that no square over- or
+underflows; ids are whole numbers (others, as of texts that spell none, are refused); null ids take no part; a query's own id is never its answer, nor
 are other rows of that id; ties go to the smaller id; with fewer candidates than k all are returned; an
 empty table gives none.
 """
@@ -23,6 +27,7 @@ empty table gives none.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +46,11 @@ GRAPH_NEIGHBOURS = 16
 TARGET = 0.95
 HELD_OUT = 0.2
 CHUNK = 4096
+#: Rows of a part above which parts are cut again, and most parts that a level has.
+LEAF_ROWS = 8192
+MAX_PARTS = 64
+#: Held-out vectors whose true neighbours in the table are sought.
+ASKED = 256
 
 
 @dataclass
@@ -52,7 +62,6 @@ class Router:
     first_bias: np.ndarray
     second: np.ndarray
     second_bias: np.ndarray
-    probes: int = 1
 
     @property
     def parts(self) -> int:
@@ -140,31 +149,66 @@ def train(unit: np.ndarray, targets: np.ndarray, hidden: int = 128, epochs: int
     return Router(mean, *w)
 
 
-def probes_for(router: Router, unit: np.ndarray, asked: np.ndarray, target: float, k: int = 5) -> int:
-    """Fewest parts whose rows hold ``target`` of the k nearest ``unit`` vectors of each of ``asked``."""
-    near = np.argpartition(-(asked @ unit.T), min(k, len(unit)) - 1, axis=1)[:, : min(k, len(unit))]
-    part = router.scores(unit).argmax(axis=1)
-    place = np.argsort(np.argsort(-router.scores(asked), axis=1, kind="stable"), axis=1)
-    depth = np.sort(np.take_along_axis(place, part[near], axis=1).reshape(-1))
-    return int(depth[math.ceil(target * len(depth)) - 1]) + 1
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two, which changes no cosine, with a largest component from 0.5 to 1."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+
+
+def units(v: np.ndarray) -> np.ndarray:
+    v = scaled(v)
+    return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def fit(sample: np.ndarray, part_rows: int = PART_ROWS, seed: int = 0, target: float = TARGET) -> Router:
-    """A router from sample vectors, at least two, in random order."""
-    unit = sample / np.sqrt((sample * sample).sum(axis=1, keepdims=True))
-    held = int(HELD_OUT * len(unit))
-    unit, asked = unit[held:], unit[:held]
+def fit(unit: np.ndarray, parts: int, seed: int = 0) -> Router:
+    """A router to ``parts`` parts (a power of two) from sample vectors of length one."""
     if len(unit) < 2:
         unit = np.concatenate([unit, unit])
-    levels = max(0, int(math.log2(max(1, len(unit) / part_rows))))
+    levels = min(int(math.log2(parts)), int(math.log2(len(unit))))
     graph = neighbour_graph(unit, min(GRAPH_NEIGHBOURS, len(unit) - 1))
     part = balanced_parts(graph, levels, seed)
     targets = np.zeros((len(unit), 2**levels))
     np.add.at(targets, (np.repeat(np.arange(len(unit)), graph.shape[1]), part[graph].reshape(-1)), 1.0)
     np.add.at(targets, (np.arange(len(unit)), part), float(graph.shape[1]) / 2)
-    router = train(unit, targets / targets.sum(axis=1, keepdims=True), seed=seed)
-    router.probes = probes_for(router, unit, asked, target) if held else router.parts
-    return router
+    return train(unit, targets / targets.sum(axis=1, keepdims=True), seed=seed)
+
+
+@dataclass
+class Index:
+    """A router, and one for each of its parts that is cut again. A leaf's number is its part's times ``width``, and its place there."""
+
+    top: Router
+    below: dict[int, Router]
+
+    @property
+    def width(self) -> int:
+        return max((r.parts for r in self.below.values()), default=1)
+
+    @property
+    def leaves(self) -> int:
+        return self.top.parts * self.width
+
+    def leaf(self, unit: np.ndarray) -> np.ndarray:
+        """The most probable leaf of the most probable part of each vector."""
+        part = self.top.scores(unit).argmax(axis=1)
+        leaf = part * self.width
+        for p in np.unique(part).tolist():
+            if p in self.below:
+                leaf[part == p] += self.below[p].scores(unit[part == p]).argmax(axis=1)
+        return leaf
+
+    def order(self, unit: np.ndarray) -> np.ndarray:
+        """All leaves of each vector, the most probable first."""
+        logs = np.full((len(unit), self.leaves), -np.inf)
+        top = _log_shares(self.top.scores(unit))
+        for p in range(self.top.parts):
+            own = _log_shares(self.below[p].scores(unit)) if p in self.below else np.zeros((len(unit), 1))
+            logs[:, p * self.width : p * self.width + own.shape[1]] = top[:, [p]] + own
+        return np.argsort(-logs, axis=1, kind="stable")
+
+
+def _log_shares(scores: np.ndarray) -> np.ndarray:
+    scores = scores - scores.max(axis=1, keepdims=True)
+    return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
 
 
 def _matrix(column: pa.Array | pd.Series) -> np.ndarray:
@@ -173,7 +217,73 @@ def _matrix(column: pa.Array | pd.Series) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def search(vectors: DataFrame, is_query: F.Column, *, k: int = 5, target: float = TARGET, sample: int = SAMPLE, chunk: int = CHUNK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def build(classes: DataFrame, total: int, *, sample: int = SAMPLE, leaf_rows: int = LEAF_ROWS) -> tuple[Index, np.ndarray]:
+    """An index fitted to ``classes`` (``cls``, ``v``), and the held-out vectors: ``HELD_OUT`` of the sample, at most ``ASKED``."""
+    by_chance = [F.xxhash64("cls", F.lit("sample")), F.col("cls")]
+
+    def share(of: F.Column | int, wanted: int) -> F.Column:  # of rows whose number is ``of``, about ``wanted``
+        return F.pmod(by_chance[0], F.lit(1_000_000)) < F.ceil(F.least(F.lit(1.0), F.lit(1.2 * wanted) / of) * 1_000_000)
+
+    chosen = classes.where(share(F.lit(total), sample)).orderBy(F.xxhash64("cls"), "cls").limit(sample)
+    held = units(_matrix(chosen.select("v").toArrow().column(0).combine_chunks()))
+    asked = min(ASKED, int(HELD_OUT * len(held)))
+    asked, unit = held[:asked], held[asked:]
+    top = fit(unit, 2 ** max(0, min(int(math.log2(MAX_PARTS)), int(math.log2(max(1.0, len(unit) / PART_ROWS))))))
+    cuts = 2 ** max(0, min(int(math.log2(MAX_PARTS)), math.ceil(math.log2(total / (top.parts * leaf_rows)))))
+    if cuts == 1:
+        return Index(top, {}), asked
+    weights = classes.sparkSession.sparkContext.broadcast(top)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                part = weights.value.scores(units(_matrix(batch.column(1)))).argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part)], names=["cls", "v", "part"])
+
+    routed = materialise(classes.select("cls", "v").mapInArrow(route, "cls long, v array<double>, part long"), "routed-vectors")
+    sizes = routed.groupBy("part").agg(F.count("*").alias("n"))
+    own = F.row_number().over(W.Window.partitionBy("part").orderBy(*by_chance))
+    few = routed.join(F.broadcast(sizes), "part").where(share(F.col("n"), sample)).select("part", "v", own.alias("k")).where(F.col("k") <= sample)
+
+    def fitted(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": [int(rows["part"].iloc[0])], "router": [pickle.dumps(fit(units(_matrix(rows["v"])), cuts))]})
+
+    made = few.select("part", "v").groupBy("part").applyInPandas(fitted, "part long, router binary").collect()  # a router of some 100 kB for each of MAX_PARTS parts
+    return Index(top, {r.part: pickle.loads(r.router) for r in made}), asked
+
+
+def calibrate(index: Index, placed: DataFrame, asked: np.ndarray, target: float, k: int = 5) -> int:
+    """Fewest leaves that hold ``target`` of the ``k`` nearest of all ``placed`` rows of each of ``asked``, one pass over them."""
+    if not len(asked):
+        return index.leaves
+    queries = placed.sparkSession.sparkContext.broadcast(asked)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None  # of this task's rows: at most k + 1 for each of ASKED vectors
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            score = queries.value @ units(_matrix(batch.column(0))).T
+            leaf = np.broadcast_to(batch.column(1).to_numpy()[None, :], score.shape)
+            if best is not None:
+                score, leaf = np.concatenate([best[0], score], axis=1), np.concatenate([best[1], leaf], axis=1)
+            top = np.argpartition(-score, min(k + 1, score.shape[1]) - 1, axis=1)[:, : k + 1]
+            best = np.take_along_axis(score, top, axis=1), np.take_along_axis(leaf, top, axis=1)
+        if best is not None:
+            n, width = best[0].shape
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(n), width)), pa.array(best[0].reshape(-1)), pa.array(best[1].reshape(-1))], names=["q", "score", "leaf"])
+
+    found = placed.select("v", "part").mapInArrow(near, "q long, score double, leaf long")
+    rank = F.row_number().over(W.Window.partitionBy("q").orderBy(F.desc("score"), "leaf"))
+    found = found.select("q", "leaf", rank.alias("n")).where(F.col("n").between(2, k + 1)).collect()  # at most k for each of ASKED; the first is itself
+    if not found:
+        return index.leaves
+    place = np.argsort(index.order(asked), axis=1)
+    depth = sorted(int(place[r.q, r.leaf]) for r in found)
+    return depth[math.ceil(target * len(depth)) - 1] + 1
+
+
+def search(vectors: DataFrame, is_query: F.Column, *, k: int = 5, target: float = TARGET, sample: int = SAMPLE, leaf_rows: int = LEAF_ROWS, chunk: int = CHUNK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score`` of each query row's ``k`` nearest found. ``is_query`` is a condition on ``id``."""
     raw = private(vectors, id=id_col, v=vector_col).select(F.col("id").cast("long"), F.col("v").cast("array<double>"))
     sound = F.col("id").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < math.inf)) & F.exists("v", lambda x: x != 0)
@@ -190,37 +300,34 @@ def search(vectors: DataFrame, is_query: F.Column, *, k: int = 5, target: float
     classes = materialise(members.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(F.element_at("ids", 1).alias("cls"), "v", "ids"), "vector-classes")
 
     total = classes.count()
-    share = min(1.0, sample / total)
-    chosen = classes.where(F.pmod(F.xxhash64("cls", F.lit("sample")), F.lit(1_000_000)) < math.ceil(share * 1_000_000)).orderBy(F.xxhash64("cls"), "cls").limit(sample)
-    held = chosen.select("v").toArrow().column(0).combine_chunks()
-    router = fit(_matrix(held) if len(held) > 1 else np.ones((2, lengths[0]["d"])), target=target)
-    weights = vectors.sparkSession.sparkContext.broadcast(router)  # a few hundred kB
-
-    def routed(count: int):
-        """Adds the ``count`` most probable parts of each vector."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                v = _matrix(batch.column(1))
-                if len(v):
-                    scores = weights.value.scores(v / np.sqrt((v * v).sum(axis=1, keepdims=True)))
-                    order = np.argsort(-scores, axis=1, kind="stable")[:, :count]
-                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(order.tolist(), pa.list_(pa.int64()))], names=[*batch.schema.names, "parts"])
-
-        return run
-
-    index = classes.mapInArrow(routed(1), "cls long, v array<double>, ids array<long>, parts array<long>")
-    placed = materialise(index.select("cls", "v", "ids", F.element_at("parts", 1).alias("part")), "placed-vectors")
+    index, held = build(classes, total, sample=sample, leaf_rows=leaf_rows)
+    weights = vectors.sparkSession.sparkContext.broadcast(index)  # at most MAX_PARTS + 1 routers
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(weights.value.leaf(units(_matrix(batch.column(1)))))], names=["cls", "v", "ids", "part"])
+
+    placed = materialise(classes.mapInArrow(put, "cls long, v array<double>, ids array<long>, part long"), "placed-vectors")
+    probes = calibrate(index, placed, held, target, k)
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                own = batch.slice(at, 1024)
+                order = weights.value.order(units(_matrix(own.column(1))))[:, :probes]
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(list(order), pa.list_(pa.int64()))], names=["cls", "v", "parts"])
+
     asking = rows.where(is_query).select("id", "v").distinct()
     named = materialise(placed.select("cls", "v").join(asking, "v").select("cls", F.col("id").alias("query_id")), "queries")
     asked = placed.join(named.select("cls").distinct(), "cls").select("cls", "v")
-    queries = materialise(asked.mapInArrow(routed(router.probes), "cls long, v array<double>, parts array<long>"), "routed-queries").select("cls", "v", F.explode("parts").alias("part"))
+    queries = materialise(asked.mapInArrow(routed, "cls long, v array<double>, parts array<long>"), "routed-queries").select("cls", "v", F.explode("parts").alias("part"))
 
     width = {r[0]: max(1, math.ceil(r[1] / chunk)) for r in placed.groupBy("part").count().collect()}  # a row for each part
     deep = {r[0]: max(1, math.ceil(r[1] / chunk)) for r in queries.groupBy("part").count().collect()}
 
     def lot(column: F.Column, sizes: dict[int, int]) -> F.Column:
-        return F.coalesce(F.element_at(F.lit([sizes.get(i, 1) for i in range(router.parts)]), (column + 1).cast("int")), F.lit(1))
+        return F.coalesce(F.element_at(F.lit([sizes.get(i, 1) for i in range(index.leaves)]), (column + 1).cast("int")), F.lit(1))
 
     spread = lambda n: F.sequence(F.lit(0), (n - 1).cast("int"))
     mark = lambda n: F.pmod(F.xxhash64("cls"), n).cast("int")
@@ -233,9 +340,10 @@ def search(vectors: DataFrame, is_query: F.Column, *, k: int = 5, target: float
         if len(ours) and len(asked):
             x, ids = _matrix(ours["v"]), ours["ids"].to_numpy()
             least = ours["cls"].to_numpy()
+            x = scaled(x)
             norms = np.sqrt((x * x).sum(axis=1))
             for at in range(0, len(asked), 256):
-                q = _matrix(asked["w"].iloc[at : at + 256])
+                q = scaled(_matrix(asked["w"].iloc[at : at + 256]))
                 near = (q @ x.T) / (np.sqrt((q * q).sum(axis=1))[:, None] * norms[None, :])
                 top = min(k + 1, len(x))
                 edge = -np.partition(-near, top - 1, axis=1)[:, top - 1]

@@ -72,5 +72,35 @@ def test_parts_are_balanced_and_router_learns():
     sizes = np.bincount(part)
     assert len(sizes) == 8 and sizes.max() - sizes.min() <= 1
     assert (part[graph] == part[:, None]).mean() > 0.8
-    router = ann.fit(x)
-    assert 1 <= router.probes <= router.parts // 2
+    index = ann.Index(ann.fit(unit, 8), {})
+    assert (index.leaf(unit) == part).mean() > 0.7 and (index.order(unit)[:, 0] == index.leaf(unit)).all()
+
+
+@pytest.mark.parametrize("noise", [0.5, 2.0])
+def test_recall_beyond_the_sample_with_parts_cut_again(spark, noise):
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((60, 16))
+    x = centres[rng.integers(0, 60, 6000)] + noise * rng.standard_normal((6000, 16))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    sizes = {"sample": 1000, "leaf_rows": 100}
+    classes = frame.select(F.col("vec_id").alias("cls"), F.col("embedding").alias("v"))
+    index, held = ann.build(classes, 6000, **sizes)
+    assert index.top.parts == 4 and index.leaves == 64 and len(held) == 200
+    leaf = index.leaf(ann.units(x))
+    placed = spark.createDataFrame([(i, v.tolist(), int(p)) for i, (v, p) in enumerate(zip(x, leaf))], "cls long, v array<double>, part long")
+    assert ann.calibrate(index, placed, held, ann.TARGET) <= (16 if noise < 1 else 63)
+    got = collected(ann.search(frame, F.col("id") % 50 == 0, **sizes))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T
+    np.fill_diagonal(near, -2)
+    want = {q: set(np.argsort(-near[q])[:5].tolist()) for q in range(0, 6000, 50)}
+    assert got.keys() == want.keys()
+    assert sum(len({i for _, i, _ in got[q]} & want[q]) for q in want) >= 0.9 * 5 * len(want)
+
+
+def test_very_large_and_very_small_components(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e-200, 2e-200]), (2, [-1e300, 1e300]), (3, [1e200, 0.0]), (4, [5e-324, 5e-324])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collected(ann.search(frame, F.col("id") == 0))
+    assert [i for _, i, _ in got[0]] == [4, 1, 3, 2]
+    assert np.allclose([s for _, _, s in got[0]], [1, 3 / 10**0.5, 0.5**0.5, 0], atol=1e-12)
