@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import private
+from .notices import NOTICES
 
 THRESHOLD = 0.8
 #: Window of a template, in multiples of its words.
@@ -38,17 +39,9 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-#: Public license notices, by label (fixed values).
-TEMPLATES = {
-    "mit": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
-    "apache-2": "licensed under the apache license version 2 0 you may not use this file except in compliance with the license",
-    "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
-    "gpl-3": "licensed under the gnu general public license version 3",
-    "lgpl": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license",
-    "mpl-2": "this source code form is subject to the terms of the mozilla public license v 2 0",
-    "cc0": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
-    "unlicense": "this is free and unencumbered software released into the public domain",
-}
+#: Templates that a table of them may have, and words of all: they go to every task.
+MAX_TEMPLATES = 10_000
+MAX_TEMPLATE_WORDS = 5_000_000
 
 _SEPARATORS = bytes(c for c in range(128) if not (48 <= c <= 57 or 65 <= c <= 90 or 97 <= c <= 122))
 _TABLE = bytes.maketrans(_SEPARATORS + bytes(range(65, 91)), b" " * len(_SEPARATORS) + bytes(range(97, 123)))
@@ -79,33 +72,44 @@ class Template:
     def window(self) -> int:
         return len(self.words) if self.phrase else math.ceil(SLACK * len(self.words))
 
-    def order(self, frequency: dict[bytes, int]) -> list[bytes]:
-        return sorted(self.distinct, key=lambda w: (frequency.get(w, 0), w))
+    def ranks(self, frequency: dict[bytes, int]) -> dict[bytes, int]:
+        """Places of the words when the rarest comes first."""
+        return {w: i for i, w in enumerate(sorted(self.distinct, key=lambda w: (frequency.get(w, 0), w)))}
 
-    def prefix(self, frequency: dict[bytes, int]) -> list[bytes]:
-        return self.order(frequency)[: len(self.distinct) - self.need + 1]
+    def prefix(self, rank: dict[bytes, int]) -> frozenset[bytes]:
+        """Words of which a block needs one: from a later place on, too few are left."""
+        return frozenset(w for w, i in rank.items() if len(rank) - i >= self.need)
 
 
-def templates(phrases: dict[str, str] | None = None, notices: dict[str, str] | None = None, threshold: float = THRESHOLD) -> list[Template]:
+def templates(phrases: dict[str, str] | None = None, notices: Iterable[tuple[str, str, str]] | None = None, threshold: float = THRESHOLD) -> list[Template]:
+    """Phrases by their labels, and notices as (id, label, text)."""
     made = [Template(label, tuple(words_of(p.encode())), True, 1.0) for p, label in (PHRASES if phrases is None else phrases).items()]
-    made += [Template(label, tuple(words_of(p.encode())), False, threshold) for label, p in (TEMPLATES if notices is None else notices).items()]
+    made += [Template(label, tuple(words_of(p.encode())), False, threshold) for _, label, p in (NOTICES if notices is None else notices)]
     if not all(t.words for t in made):
         raise ValueError("a template needs a word")
+    if len(made) > MAX_TEMPLATES or sum(len(t.words) for t in made) > MAX_TEMPLATE_WORDS:
+        raise ValueError(f"there may be {MAX_TEMPLATES} templates of {MAX_TEMPLATE_WORDS} words in all")
     return made
 
 
-def blocks(words: list[bytes], template: Template, frequency: dict[bytes, int]) -> Iterator[tuple[int, float]]:
-    """(start, containment) of each block that meets the template."""
+def notices_of(table: DataFrame) -> list[tuple[str, str, str]]:
+    """Notices from a table of templates with ``id``, ``label`` and ``text``, of which at most ``MAX_TEMPLATES`` are taken."""
+    rows = table.select("id", "label", "text").limit(MAX_TEMPLATES + 1).collect()
+    if len(rows) > MAX_TEMPLATES:
+        raise ValueError(f"there may be {MAX_TEMPLATES} templates")
+    return sorted((str(r.id), r.label, r.text) for r in rows)
+
+
+def blocks(words: list[bytes], template: Template, rank: dict[bytes, int]) -> Iterator[tuple[int, float]]:
+    """(start, containment) of each block that meets the template. ``rank``: the place of each of its words in their order."""
     need, width = template.need, template.window
     if len(words) < need:
         return
-    rank = {w: i for i, w in enumerate(template.order(frequency))}
     size, distinct = len(words), len(rank)
-    prefix = set(template.prefix(frequency))
     last = max(0, size - width)
     spans: list[list[int]] = []
     for at, word in enumerate(words):
-        if word in prefix and distinct - rank[word] >= need:
+        if word in rank and distinct - rank[word] >= need:
             lo, hi = max(0, min(at - width + 1, last)), min(at, last)
             if spans and lo <= spans[-1][1] + 1:
                 spans[-1][1] = max(spans[-1][1], hi)
@@ -141,12 +145,16 @@ def frequencies(docs: DataFrame, vocabulary: set[bytes], text_col: str = "text")
     return {bytes(r.word): r.n for r in counted.collect()}
 
 
-def scan(docs: DataFrame, *, known: list[Template] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_words, n_base, first_word, last_word, base_labels, labels, score`` of every row."""
-    known = templates() if known is None else known
+def scan(docs: DataFrame, *, table: DataFrame | None = None, threshold: float = THRESHOLD, known: list[Template] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, n_words, n_base, first_word, last_word, base_labels, labels, score`` of every row.
+
+    The notices are those of ``table`` (``id``, ``label``, ``text``), or else the public ones of ``notices.py``.
+    """
+    if known is None:
+        known = templates(notices=None if table is None else notices_of(table), threshold=threshold)
     frequency = frequencies(docs, set().union(*(t.distinct for t in known)), text_col)
-    triggers = [(t, frozenset(t.prefix(frequency))) for t in known]
-    every = frozenset().union(*(p for _, p in triggers))
+    triggers = [(t, rank, t.prefix(rank)) for t in known for rank in [t.ranks(frequency)]]
+    every = frozenset().union(*(p for *_, p in triggers))
     source = private(docs, id=id_col, text=text_col).withColumn("text", F.col("text").cast("binary"))
     kinds = (("n_words", T.LongType(), pa.int64()), ("n_base", T.LongType(), pa.int64()), ("first_word", T.LongType(), pa.int64()), ("last_word", T.LongType(), pa.int64()), ("base_labels", T.StringType(), pa.string()), ("labels", T.StringType(), pa.string()), ("score", T.DoubleType(), pa.float64()))
     schema = T.StructType([source.schema["id"], *(T.StructField(n, t) for n, t, _ in kinds)])
@@ -156,10 +164,10 @@ def scan(docs: DataFrame, *, known: list[Template] | None = None, id_col: str =
         if every.isdisjoint(words):
             return len(words), 0, None, None, "", "", 0.0
         there, places, base, labels, score = every.intersection(words), set(), set(), set(), 0.0
-        for template, prefix in triggers:
+        for template, rank, prefix in triggers:
             if prefix.isdisjoint(there):
                 continue
-            for start, contained in blocks(words, template, frequency):
+            for start, contained in blocks(words, template, rank):
                 score = max(score, contained)
                 labels.add(template.label)
                 if template.phrase:

@@ -27,12 +27,12 @@ def brute_blocks(words, t):
 def test_blocks_equal_brute_force(seed):
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(25)]
-    known = licenses.templates({"w1 w2 w1": "p", "w3": "q"}, {"a": " ".join(rng.choices(vocabulary, k=12)), "b": " ".join(vocabulary[:20])}, rng.choice([0.5, 0.8, 1.0]))
+    known = licenses.templates({"w1 w2 w1": "p", "w3": "q"}, [("1", "a", " ".join(rng.choices(vocabulary, k=12))), ("2", "b", " ".join(vocabulary[:20]))], rng.choice([0.5, 0.8, 1.0]))
     for _ in range(60):
         words = [w.encode() for w in rng.choices(vocabulary, k=rng.choice([0, 2, 10, 60]))]
         frequency = {w.encode(): rng.randint(0, 50) for w in vocabulary}
         for t in known:
-            assert sorted(licenses.blocks(words, t, frequency)) == brute_blocks(words, t)
+            assert sorted(licenses.blocks(words, t, t.ranks(frequency))) == brute_blocks(words, t)
 
 
 TEXTS = [
@@ -63,3 +63,20 @@ def test_scan(spark):
 def test_templates_need_words():
     with pytest.raises(ValueError):
         licenses.templates({"...": "x"}, {})
+
+
+def test_whole_notices_and_a_table_of_templates(spark):
+    rng = random.Random(1)
+    rows = []
+    for n, (_, label, text) in enumerate(licenses.NOTICES):
+        words = text.split()
+        for at in rng.sample(range(len(words)), len(words) // 20):  # one word of twenty is another
+            words[at] = "reworded"
+        rows.append((n, "some words before " + " ".join(words) + " and some after", label))
+    rows.append((99, "the software is provided to any person in binary form and nobody is liable for the use of this software", ""))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    got = {r.id: r.labels.split(",") for r in licenses.scan(docs).collect()}
+    assert all(label in got[n] for n, _, label in rows) and got[99] == [""]
+    table = spark.createDataFrame([(7, "own", "every copy of this text shall name its author and the year")], "id long, label string, text string")
+    own = spark.createDataFrame([(1, "Every copy of this work shall name its author, and the year!"), (2, rows[0][1])], "doc_id long, text string")
+    assert {r.id: r.labels for r in licenses.scan(own, table=table).collect()} == {1: "own", 2: ""}
