@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -47,6 +48,71 @@ def test_edge_cases(spark, model):
     assert language.identify(frame.limit(0), model).count() == 0
 
 
+def slow_fusion(rows, model, k=language.HOST_WEIGHT):
+    """(key, language, posterior) of each row, by loops over rows, hosts, suffixes and declarations."""
+    names, logs = model
+    size = len(names)
+    start = [math.log(language.NONE_PRIOR if n == language.NONE else (1 - language.NONE_PRIOR) / (size - 1)) for n in names]
+
+    def normal(values):
+        powers = [math.exp(v - max(values)) for v in values]
+        return [p / sum(powers) for p in powers]
+
+    texts, shares = [], []
+    for _, text, *_ in rows:
+        data = language.letters(text)
+        sums = [0.0] * size
+        for at in range(len(data) - 2):
+            code = data[at : at + 3]
+            if code.count(b" ") < 2:
+                bucket = (int.from_bytes(code, "big") * 2654435761 % 2**32) >> 17
+                sums = [s + logs[i][bucket] for i, s in enumerate(sums)]
+        texts.append([s / language.TEMPERATURE for s in sums] if data.strip() else None)
+        shares.append(normal([s + p for s, p in zip(texts[-1], start)]) if texts[-1] else None)
+    told = lambda d: "" if d is None else d if d in names else "other"
+    live = [n for n, s in enumerate(shares) if s]
+    kinds = {told(rows[n][2]) for n in live}
+    total = [sum(shares[n][i] for n in live) for i in range(size)]
+    base = [(total[i] + k * math.exp(start[i])) / (len(live) + k) for i in range(size)]
+    out = []
+    for n, (key, _, declared, host, suffix) in enumerate(rows):
+        if not shares[n]:
+            out.append((key, "und", 0.0))
+            continue
+        of_suffix = [m for m in live if m != n and rows[m][4] == suffix]
+        of_host = [m for m in of_suffix if rows[m][3] == host]
+        above = [(sum(shares[m][i] for m in of_suffix) + k * base[i]) / (len(of_suffix) + k) for i in range(size)]
+        prior = [(sum(shares[m][i] for m in of_host) + k * above[i]) / (len(of_host) + k) for i in range(size)]
+        said = [sum(shares[m][i] for m in live if told(rows[m][2]) == told(declared)) for i in range(size)]
+        reliable = [(said[i] + 4 * (sum(said) + 1) / (sum(total) + len(kinds))) / (total[i] + 4) for i in range(size)]
+        fused = normal([t + math.log(p) + math.log(r) for t, p, r in zip(texts[n], prior, reliable)])
+        out.append((key, names[fused.index(max(fused))], max(fused)))
+    return out
+
+
+def test_fusion_equals_loops(spark, model):
+    rng = random.Random(8)
+    words = {"en": ["the", "and", "with"], "de": ["der", "und", "nicht"], "fr": ["les", "des", "dans"], "es": ["los", "del", "para"]}
+    rows = []
+    for n in range(90):
+        lang = rng.choice(sorted(words))
+        text = rng.choice([" ".join(rng.choices(words[lang], k=rng.randint(1, 4))), "q", "x1", None, "42"])
+        suffix = rng.choice(["de", "com", None])
+        rows.append((n, text, rng.choice([lang, "en", "tlh", None]), rng.choice(["a", "b", None]) and f"{rng.choice('ab')}.{suffix}", suffix))
+    frame = spark.createDataFrame(rows, "key long, text string, declared string, host string, suffix string")
+    got = sorted(language.identify(frame, model).collect(), key=lambda r: r.key)
+    want = slow_fusion(rows, model)
+    assert [(r.key, r.language) for r in got] == [(k, name) for k, name, _ in want]
+    assert np.allclose([r.posterior for r in got], [p for *_, p in want], atol=1e-9)
+
+
+def test_rows_and_not_ids_are_kept(spark, documents):
+    good = documents.where("length(text) > 200").limit(1).first()
+    rows = [(1, good.text, good.lang, "s"), (1, "123 456", None, "s"), (None, "789", None, "s"), (None, good.text, good.lang, "s"), (2, good.text, good.lang, "s")]
+    kept = language.keep_identified(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    assert sorted((r.doc_id, r.text == good.text) for r in kept.fillna(-1, ["doc_id"]).collect()) == [(-1, True), (1, True), (2, True)]
+
+
 def test_junk_is_no_language(spark, model):
     rng = random.Random(5)
     rows = [(i, "".join(rng.choice("bcdfghjklmnpqrstvwxzqxj") for _ in range(400)), None, None, None) for i in range(20)]

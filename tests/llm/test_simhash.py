@@ -197,6 +197,34 @@ def test_repeated_ids_leave_one_row(spark):
     assert sorted(r.doc_id for r in simhash.deduplicate(docs).collect()) == [7, 8]
 
 
+def test_rows_and_not_ids_are_judged(spark):
+    texts = [" ".join(f"{k}{i}" for i in range(30)) for k in "abc"]
+    rows = [("x", texts[0], 1), ("x", texts[1], 2), ("y", texts[0], 3), ("z", texts[2], 4), ("z", texts[2], 5), (None, texts[2], 6)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, n int").withColumn("m", F.create_map("n", "n"))
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or "", r.text) for r in kept.collect())
+    assert got == sorted([("x", texts[0]), ("x", texts[1]), ("z", texts[2]), ("", texts[2])])
+    found = {(r.id, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert {("y", "x"), ("z", "z"), (None, "z")} <= found
+
+
+def test_recall_by_similarity(spark):
+    """Pairs of 0.8 and more are all linked, in every band; pairs below are not."""
+    rng, texts, bands = random.Random(2), [], {}
+    for g in range(160):
+        words = [f"g{g}w{i}" for i in range(rng.choice([30, 100, 300]))]
+        again = list(words)
+        for at in rng.sample(range(len(words)), rng.randint(1, max(1, len(words) // 25))):
+            again[at] = "edit"
+        own = jaccard(" ".join(words), " ".join(again))
+        bands.setdefault(0 if own < 0.8 else 1 if own < 0.85 else 2 if own < 0.9 else 3, []).append(len(texts))
+        texts += [" ".join(words), " ".join(again)]
+    assert all(len(bands.get(b, [])) >= 5 for b in range(4)), {b: len(x) for b, x in bands.items()}
+    kept = set(kept_of(spark, texts))
+    assert {b: sum(i + 1 not in kept for i in own) / len(own) for b, own in bands.items()} == {0: 0, 1: 1, 2: 1, 3: 1}
+
+
 def test_query_runs(spark):
     from brinefold.llm.queries import QUERIES
 
