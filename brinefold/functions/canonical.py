@@ -1,7 +1,6 @@
 """Canonical JSON and the fingerprints taken of it.
 
-Fingerprints of records are only ever computed here, in Python, or by ``row_fingerprint_column`` for
-frames; the two spell some floating-point numbers differently, so one table should be filled one way.
+Rows are fingerprinted by one expression over their stored values, whichever way they come in.
 """
 
 from __future__ import annotations
@@ -28,11 +27,7 @@ def scope_digest(tenant: str | None, scope: Mapping[str, str]) -> str:
     return hashlib.sha256(canonical_json({"scope": dict(sorted(scope.items())), "tenant": tenant}).encode()).hexdigest()
 
 
-def row_fingerprint(record: Mapping[str, object], names: Sequence[str]) -> str:
-    """Digest of a record with every field of the schema, absent ones as null."""
-    return hashlib.sha256(canonical_json({n: record.get(n) for n in sorted(names)}).encode()).hexdigest()
-
-
-def row_fingerprint_column(names: Sequence[str]) -> Column:
+def row_fingerprint(names: Sequence[str]) -> Column:
+    """Digest of a row with every field of the schema, absent ones as null."""
     whole = F.struct(*[F.col(f"`{n}`") for n in sorted(names)])
     return F.sha2(F.to_json(whole, {"ignoreNullFields": "false"}), 256)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 SECOND = 1_000_000_000
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 #: RFC 3339 with an offset and up to nine fractional digits (fixed value).
-_SHAPE = re.compile(r"(?P<day>\d{4}-\d\d-\d\d)[Tt ](?P<time>\d\d:\d\d:\d\d)(?P<part>\.\d{1,9})?(?P<zone>[Zz]|[+-]\d\d:[0-5]\d)", re.ASCII)
+INSTANT = r"(\d{4}-\d\d-\d\d)[Tt ](\d\d:\d\d:\d\d)(\.\d{1,9})?([Zz]|[+-]\d\d:[0-5]\d)"
+_SHAPE = re.compile(INSTANT, re.ASCII)
 
 
 def parse_instant(text: object) -> int:
@@ -20,8 +21,9 @@ def parse_instant(text: object) -> int:
         raise TypeError("an instant must be text with an offset")
     if not (found := _SHAPE.fullmatch(text)):
         raise ValueError(f"not an instant with an offset and up to nine fractional digits: {text!r}")
-    whole = datetime.fromisoformat(f"{found['day']}T{found['time']}{found['zone'].upper()}")
-    digits = (found["part"] or ".")[1:]
+    day, clock, part, zone = found.groups()
+    whole = datetime.fromisoformat(f"{day}T{clock}{zone.upper()}")
+    digits = (part or ".")[1:]
     ticks = int(whole.timestamp()) * SECOND + int(digits + "0" * (9 - len(digits)))
     if ticks.bit_length() > 63 and ticks != -(1 << 63):
         raise ValueError("an instant must fit into 64 bits of nanoseconds")
@@ -40,10 +42,10 @@ def format_instant(ticks: int) -> str:
 
 def instant_column(text: Column) -> Column:
     """The same for a column of text; null where the text is no instant."""
-    part = F.rpad(F.coalesce(F.regexp_extract(text, r"\.(\d{1,9})(?:[Zz]|[+-]\d{2}:\d{2})$", 1), F.lit("")), 9, "0")
-    whole = F.regexp_replace(text, r"\.\d{1,9}", "")
-    sound = text.rlike(r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?([Zz]|[+-]\d{2}:[0-5]\d)$")
-    return F.when(sound, F.unix_seconds(F.try_to_timestamp(F.upper(whole))) * F.lit(SECOND) + part.cast("long"))
+    piece = lambda n: F.regexp_extract(text, f"^{INSTANT}$", n)
+    whole = F.try_to_timestamp(F.concat(piece(1), F.lit("T"), piece(2), F.upper(piece(4))))
+    digits = F.rpad(F.substring(piece(3), 2, 9), 9, "0")
+    return F.when(text.rlike(f"^{INSTANT}$"), F.unix_seconds(whole) * F.lit(SECOND) + digits.cast("long"))
 
 
 def period_of(ticks: Column, unit: str) -> Column:

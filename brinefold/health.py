@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
@@ -16,7 +17,8 @@ from .types import KINDS
 
 VERSION = "1.0.0"
 OPERATIONS = ("evidence.append", "evidence.query", "structured.put", "structured.get", "structured.query", "structured.aggregate")
-NEEDED_FUNCTIONS = ("try_element_at", "sort_array", "sha2", "to_json", "xxhash64", "row_number")
+NEEDED_VERSION = (4, 0)
+NEEDED_FUNCTIONS = ("try_element_at", "percentile_approx", "sha2", "to_json", "xxhash64", "row_number")
 
 
 def manifest(layouts: Sequence[Layout], settings: Settings) -> dict:
@@ -40,9 +42,10 @@ def manifest(layouts: Sequence[Layout], settings: Settings) -> dict:
 
 def probe(spark: SparkSession) -> dict:
     """Version, time zone and functions; ``ready`` if all are as needed."""
+    numbers = tuple(int(n) for n in re.findall(r"\d+", spark.version)[:2])
     missing = [f for f in NEEDED_FUNCTIONS if not spark.catalog.functionExists(f)]
     zone = spark.conf.get("spark.sql.session.timeZone")
-    return {"engine": spark.version, "timeZone": zone, "missingFunctions": missing, "ready": not missing and zone == "UTC"}
+    return {"engine": spark.version, "timeZone": zone, "missingFunctions": missing, "ready": not missing and zone == "UTC" and numbers >= NEEDED_VERSION}
 
 
 def verify_layout(store: Store, layout: Layout, *, registered: bool = True) -> None:

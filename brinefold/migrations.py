@@ -35,13 +35,15 @@ def plan_migration(layouts: Sequence[Layout]) -> Migration:
 
 
 def apply_migration(migration: Migration, store: Store, *, expected: str | None = None) -> list[str]:
-    """Register all layouts; applying again changes nothing, and another layout for a resource is refused."""
+    """Make all tables' folders and register the layouts; applying again changes nothing, and another layout for a resource is refused."""
     if expected is not None and expected != migration.fingerprint:
         raise ValueError("the migration is not the expected one")
     from .health import verify_layout
 
     for layout in migration.layouts:
         verify_layout(store, layout, registered=False)  # stored data must fit before the registry says so
+    for layout in migration.layouts:
+        store.create(layout)
     for layout in migration.layouts:
         store.register(layout)
     return [x.resource.canonical for x in migration.layouts]

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.canonical import scope_digest
+from ..functions.timestamps import format_instant
 from ..layout import Field, Layout, Schema, compile_schema
 from ..operators.dedup import latest
 from ..plans.compiled import scan
@@ -34,8 +36,9 @@ EVENTS = compile_schema(
 )
 #: The same with exact numbers, for sums that are equal to the last bit in any engine.
 MONEY = compile_schema("structured/demo/events", Schema((*(f for f in EVENTS.fields if f.name != "value"), Field("value", Kind("decimal", 18, 2), True)), ("event_id",), "ts", ("user_id", "event_type"), ("value",)), stored=False)
-RANGE = {"gte": "2024-01-05T00:00:00Z", "lt": "2024-01-11T00:00:00Z"}
-WHERE_RANGE = "ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-11'"
+#: All of the table, within the 31 days that a request may ask for.
+RANGE = {"gte": "2024-01-01T00:00:00Z", "lt": "2024-02-01T00:00:00Z"}
+WHERE_RANGE = "ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'"
 SPAN = {"timestampRange": {"field": "ts", "start": RANGE["gte"], "end": RANGE["lt"]}}
 COLUMNS = "event_id, event_type, props, ts, user_id, value"
 
@@ -102,7 +105,7 @@ def _metric(name: str, function: str, field: str | None = None, **more: object)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per type: count, distinct users, sum, average, least, greatest and 99th percentile of six days."""
+    """Per type: count, distinct users, sum, average, least, greatest and 99th percentile of all days."""
     metrics = [_metric("n", "count"), _metric("users", "count", "user_id", distinct=True), _metric("total", "sum", "value"), _metric("least", "min", "value"), _metric("most", "max", "value"), _metric("p99", "quantile", "value", quantile=0.99)]
     made = compile_mapping("aggregate", {"where": {"ts": RANGE}, "metrics": metrics, "groupBy": ["event_type"]}, exact(events(spark, sf_dir)), MONEY, SETTINGS).visible
     numbers = [F.col(c).cast("double").alias(c) for c in ("total", "least", "most", "p99")]
@@ -124,7 +127,8 @@ def _session(spark: SparkSession, layout: Layout) -> Session:
     """A session whose tables lie in the shared folder, or for a local master without one in a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.gettempdir()
     from uuid import uuid4
@@ -147,7 +151,7 @@ def _ticks(column: str) -> F.Column:
 
 
 def _orders_as_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderdate < timestamp_ntz'1995-07-01'").select(F.col("o_orderkey").alias("part"), F.lit(1).alias("line"), _ticks("o_orderdate"), F.col("o_totalprice").alias("quantity"), F.col("o_custkey").cast("double").alias("price"))
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("part"), F.lit(1).alias("line"), _ticks("o_orderdate"), F.col("o_totalprice").alias("quantity"), F.col("o_custkey").cast("double").alias("price"))
 
 
 def dedup_append_only(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,30 +193,78 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(events(spark, sf_dir), short, None, F.lit(True), None, now).select("event_id")
 
 
+#: Records of one batch: the limit of a request is part of what it is.
+BATCH_ROWS = 500
+RECORDED = Schema((Field("id", Kind("int64")), Field("at", Kind("utcTimestamp")), Field("kind", Kind("string"), True), Field("value", Kind("float64")), Field("amount", Kind("decimal", 60, 20))), ("id",), "at")
+
+
+def _records(spark: SparkSession, sf_dir: str) -> list[dict]:
+    """The first events, as a caller would send them."""
+    first = events(spark, sf_dir).select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "event_type", "value").orderBy("event_id").limit(BATCH_ROWS).collect()
+    return [{"id": r.event_id, "at": format_instant(r["at"] * 1000), "kind": r.event_type, "value": r.value, "amount": f"{r.event_id + 1}00000000000000000000000000.5"} for r in first]
+
+
 def append_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same batch of records sent three times is stored once."""
-    layout = compile_schema("evidence/demo/points", Schema((Field("id", Kind("string")), Field("at", Kind("utcTimestamp")), Field("value", Kind("float64"))), ("id",)))
-    session = _session(spark, layout)
-    records = [{"id": f"p{i}", "at": f"2024-01-02T00:00:00.{i:09d}Z", "value": float(i)} for i in range(40)]
+    layout = compile_schema("evidence/demo/points", RECORDED)
+    session, records = _session(spark, layout), _records(spark, sf_dir)
     for _ in range(3):
         session.execute(Request.of("evidence.append", layout.resource, {"records": records}, context=Context("t", {}, "key")))
     return session.store.table(layout).select("id", "value")
 
 
+def put_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records put, and some of them put again with other values: the last version of each is read."""
+    layout = compile_schema("structured/demo/points", RECORDED)
+    session, records = _session(spark, layout), _records(spark, sf_dir)
+    for key, sent in (("a", records), ("b", [r | {"value": -1.0, "kind": None} for r in records if r["id"] % 3 == 0])):
+        session.execute(Request.of("structured.put", layout.resource, {"data": sent}, context=Context("t", {}, key)))
+    return session.compile(Request.of("structured.query", layout.resource, {"where": {"at": RANGE}, "select": ["id", "kind", "value"], "limit": BATCH_ROWS}, context=Context("t", {}))).visible
+
+
+def wide_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum, least and greatest of decimals of over 38 digits, by the last two digits of the id, as texts."""
+    layout = compile_schema("structured/demo/points", RECORDED)
+    session = _session(spark, layout)
+    context = Context("t", {}, "key")
+    session.execute(Request.of("structured.put", layout.resource, {"data": _records(spark, sf_dir)}, context=context))
+    metrics = [_metric("total", "sum", "amount"), _metric("least", "min", "amount"), _metric("most", "max", "amount"), _metric("mid", "quantile", "amount", quantile=0.5)]
+    made = session.execute(Request.of("structured.query", layout.resource, {"where": {"at": RANGE}, "metrics": metrics, "groupBy": ["kind"]}, context=context))
+    return spark.createDataFrame([tuple(r[n] for n in ("kind", "total", "least", "most", "mid")) for r in made.data], "kind string, total string, least string, most string, mid string")
+
+
+def evidence_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence that is not append-only: of one key's rows the last is read, as of structured data."""
+    layout = compile_schema("evidence/demo/orders", STORED, partition="month", append_only=False)
+    session, frame = _session(spark, layout), _orders_as_stored(spark, sf_dir)
+    own = {"scope": scope_digest("t", {}), "tenant": "t"}
+    session.store.append_frame(layout, frame, batch="b1", **own)
+    session.store.append_frame(layout, frame.where("part % 5 = 0").withColumn("quantity", F.lit(-2.0)), batch="b2", **own)
+    return scan(session.store.table(layout), layout, own["scope"], F.lit(True), None).select("part", "quantity")
+
+
 def cursor_traversal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages of a query, one after another by their cursors."""
-    table = events(spark, sf_dir)
-    session = Session(spark, [EVENTS], SETTINGS, tables={EVENTS.resource: table})
-    request = Request.of("structured.query", EVENTS.resource, {"where": {"ts": {"gte": "2024-01-05T00:00:00Z", "lt": "2024-01-05T12:00:00Z"}}, "select": ["event_id"], "limit": 100, "orderBy": [{"field": "user_id", "direction": "desc"}]})
-    found, place = [], 0
-    for result in session.pages(request):
-        for item in result.data:
-            found.append((place, item["event_id"]))
-            place += 1
-    return spark.createDataFrame(found, "place long, event_id long")
+    """The first pages of a query, one after another by their cursors. Only the cursors pass through the driver."""
+    session = Session(spark, [EVENTS], SETTINGS, tables={EVENTS.resource: events(spark, sf_dir)})
+    value = {"where": {"ts": RANGE}, "select": ["event_id"], "limit": 400, "orderBy": [{"field": "user_id", "direction": "desc"}]}
+    pages = []
+    for n in range(4):
+        request = Request.of("structured.query", EVENTS.resource, value)
+        pages.append(session.compile(request).visible.select(F.lit(n).alias("page"), "event_id"))
+        value = value | {"cursor": session.execute(request).cursor}
+    return reduce(DataFrame.union, pages)
+
+
+_ORDERS_SQL = "SELECT o_orderkey AS part, o_totalprice AS quantity FROM orders"
+
+
+_FIRST_SQL = f"(SELECT * FROM events ORDER BY event_id LIMIT {BATCH_ROWS})"
 
 
-_ORDERS_SQL = "SELECT o_orderkey AS part, o_totalprice AS quantity FROM orders WHERE o_orderdate < TIMESTAMP '1995-07-01'"
+def _wide_sql(number: str, halves: str = "1") -> str:
+    """The text of ``number`` followed by 26 zeros and ``halves`` halves, with twenty fractional digits."""
+    half = f"CAST({halves} AS BIGINT)"
+    return f"CAST({number} AS VARCHAR) || lpad(CAST({half} // 2 AS VARCHAR), 26, '0') || '.' || CASE WHEN {half} % 2 = 1 THEN '5' ELSE '0' END || repeat('0', 19)"
 
 
 def _ids(condition: str, table: str = "events") -> str:
@@ -289,8 +341,11 @@ CATALOGUE = [
     ("put_versions", put_versions, f"SELECT part, CASE WHEN part % 3 = 0 THEN -1.0::DOUBLE ELSE quantity END AS quantity FROM ({_ORDERS_SQL})"),
     ("scope_isolation", scope_isolation, f"SELECT part, quantity FROM ({_ORDERS_SQL}) WHERE part % 2 = 1 AND quantity > 1000"),
     ("retention", retention, "SELECT event_id FROM events WHERE date_trunc('second', ts) + INTERVAL 10 DAY > TIMESTAMP '2024-01-21 00:00:00'"),
-    ("append_retry_idempotent", append_retry, "SELECT 'p' || CAST(i AS VARCHAR) AS id, CAST(i AS DOUBLE) AS value FROM range(40) t(i)"),
-    ("cursor_traversal", cursor_traversal, "SELECT row_number() OVER (ORDER BY user_id DESC, ts DESC, event_id) - 1 AS place, event_id FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-05 12:00:00'"),
+    ("append_retry_idempotent", append_retry, f"SELECT event_id AS id, value FROM {_FIRST_SQL}"),
+    ("put_records", put_records, f"SELECT event_id AS id, CASE WHEN event_id % 3 <> 0 THEN event_type END AS kind, CASE WHEN event_id % 3 = 0 THEN -1.0::DOUBLE ELSE value END AS value FROM {_FIRST_SQL}"),
+    ("wide_decimals", wide_decimals, f"SELECT event_type AS kind, {_wide_sql('sum(event_id + 1)', 'count(*)')} AS total, {_wide_sql('min(event_id + 1)')} AS least, {_wide_sql('max(event_id + 1)')} AS most, {_wide_sql('(list(event_id + 1 ORDER BY event_id))[CAST(floor(0.5 * count(*)) AS INTEGER) + 1]')} AS mid FROM {_FIRST_SQL} GROUP BY event_type"),
+    ("evidence_versions", evidence_versions, f"SELECT part, CASE WHEN part % 5 = 0 THEN -2.0::DOUBLE ELSE quantity END AS quantity FROM ({_ORDERS_SQL})"),
+    ("cursor_traversal", cursor_traversal, f"SELECT CAST((rn - 1) // 400 AS INTEGER) AS page, event_id FROM (SELECT event_id, row_number() OVER (ORDER BY user_id DESC, ts DESC, event_id) AS rn FROM events WHERE {WHERE_RANGE}) WHERE rn <= 1600"),
 ]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -47,13 +47,14 @@ class Compiled:
         return self.frame.limit(self.page_size).select(*[F.col(f"`{self.columns.get(o.name, o.name)}`").alias(o.name) for o in self.outputs])
 
 
-def scan(table: DataFrame, layout: Layout, scope: str | None, predicate: Column, span: tuple[int, int] | None, now_ticks: int | None = None) -> DataFrame:
+def scan(table: DataFrame | Callable[[tuple[int, int] | None], DataFrame], layout: Layout, scope: str | None, predicate: Column, span: tuple[int, int] | None, now_ticks: int | None = None) -> DataFrame:
     """Scope first, then the time range on the partition column, then deduplication, then the predicate.
 
-    The range on the instant alone would not prune partitions that are derived from it. Rows past
-    their retention are gone whether or not their files are.
+    The range on the instant alone would not prune partitions that are derived from it. A function as ``table`` is
+    told the range, so that it need not even list files of other periods. Rows past their retention are gone whether
+    or not their files are.
     """
-    rows = table
+    rows = table(span) if callable(table) else table
     if layout.stored:
         rows = rows.where(F.col(SCOPE) == F.lit(scope))
         if span is not None:

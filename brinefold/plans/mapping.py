@@ -16,7 +16,7 @@ from ..functions.canonical import fingerprint
 from ..layout import Layout
 from ..operators import aggregates
 from ..operators.ordering import page, sorts_of
-from ..operators.predicates import column, mapping_filter
+from ..operators.predicates import mapping_filter
 from ..settings import Settings
 from .compiled import Compiled, Output, scan
 from .guards import mapping_bounds
@@ -38,12 +38,10 @@ def grouped(rows: DataFrame, layout: Layout, keys: Sequence[str], metrics: Seque
     clash = set(keys) & {m.name for m in metrics}
     if clash:
         raise ValueError(f"metrics and groups share the names {sorted(clash)}")
-    made = [aggregates.expression(m, layout) for m in metrics]
-    columns = [e.alias(m.name) for m, (e, _) in zip(metrics, made)]
-    frame = rows.groupBy(*[column(layout.field(k)) for k in keys]).agg(*columns) if keys else rows.agg(*columns)
+    frame, kinds = aggregates.aggregate(rows, layout, keys, metrics, size + 1)
     outputs = [Output(k, layout.field(k).kind, layout.field(k).many) for k in keys]
-    outputs += [Output(m.name, kind, m.field is not None and m.function in ("min", "max") and layout.field(m.field).many) for m, (_, kind) in zip(metrics, made)]
-    return Compiled(frame.limit(size + 1) if keys else frame, tuple(outputs), size, aggregate=True)
+    outputs += [Output(m.name, kind, m.field is not None and m.function in ("min", "max") and layout.field(m.field).many) for m, kind in zip(metrics, kinds)]
+    return Compiled(frame, tuple(outputs), size, aggregate=True)
 
 
 def compile_mapping(operation: str, request: Mapping[str, object], table: DataFrame, layout: Layout, settings: Settings, *, scope: str | None = None, signer: CursorSigner | None = None, now_ticks: int | None = None) -> Compiled:
@@ -66,7 +64,7 @@ def compile_mapping(operation: str, request: Mapping[str, object], table: DataFr
         raise OperationInvalid(f"limit must be a whole number from 1 to {settings.max_page_size}")
     sorts = sorts_of(request.get("orderBy", ()), layout)
     stable = {k: v for k, v in request.items() if k != "cursor"} | {"operation": operation, "resource": layout.resource.canonical}
-    binding = {"plan": fingerprint(stable), "schema": layout.schema_fingerprint, "scope": scope, "size": size}
+    binding = {"plan": fingerprint(stable), "schema": layout.schema_fingerprint, "layout": layout.layout_fingerprint, "scope": scope, "size": size}
     place = None
     if request.get("cursor") is not None:
         if signer is None:

@@ -157,7 +157,7 @@ def compile_wire(plan: Mapping[str, object], table: DataFrame, layout: Layout, s
         columns[name] = field.name
         outputs.append(Output(name, field.kind, field.many))
     stable = {k: v for k, v in plan.items() if k != "page"} | {"size": size}
-    binding = {"plan": fingerprint(stable), "schema": layout.schema_fingerprint, "scope": scope, "size": size}
+    binding = {"plan": fingerprint(stable), "schema": layout.schema_fingerprint, "layout": layout.layout_fingerprint, "scope": scope, "size": size}
     place = None
     if own_page.get("cursor") is not None:
         if signer is None:

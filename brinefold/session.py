@@ -7,11 +7,13 @@ mapping-first one.
 
 from __future__ import annotations
 
+import secrets
 import threading
 import time
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +74,7 @@ class Session:
         self.layouts = {x.resource: x for x in layouts}
         self.store = Store(spark, settings, clock_ns)
         self._tables = dict(tables or {})
-        self._signer = CursorSigner(settings.cursor_secret, settings.cursor_ttl_seconds, lambda: clock_ns() / 1e9)
+        self._signer = CursorSigner(settings.cursor_secret or secrets.token_hex(32), settings.cursor_ttl_seconds, lambda: clock_ns() / 1e9)
         self._open = True
 
     def manifest(self) -> dict:
@@ -122,16 +124,16 @@ class Session:
         catalog, method = request.operation.split(".")
         if catalog != layout.resource.catalog:
             raise OperationInvalid(f"{request.operation} is not for {layout.resource.catalog} resources")
-        seconds = self._seconds(request)
+        until = time.monotonic() + self._seconds(request)
         if method in ("append", "put"):
-            return self._write(request, layout, method)
-        return self._read(self.compile(request), layout, seconds)
+            return self._write(request, layout, method, until)
+        return self._read(self.compile(request), layout, until)
 
     def compile(self, request: Request) -> Compiled:
         """The plan of a read, not yet run."""
         layout = self.layouts[request.resources[0]]
         scope = request.context.digest if layout.stored else None
-        table = self.store.table(layout) if layout.stored else self._tables[layout.resource]
+        table = partial(self.store.table, layout, scope) if layout.stored else self._tables[layout.resource]
         options = {"scope": scope, "signer": self._signer, "now_ticks": self.store.now()}
         consistency(request.input.get("consistency"))
         plan = request.input.get("queryPlan")
@@ -152,7 +154,7 @@ class Session:
         stable = {"binding": request.binding_id, "operation": request.operation, "input": fingerprint(request.input), "resource": layout.resource.canonical, "schema": layout.schema_fingerprint, "scope": request.context.digest, "key": request.context.idempotency_key or request.request_id}
         return "b1_" + fingerprint(stable).removeprefix("sha256:")
 
-    def _write(self, request: Request, layout: Layout, method: str) -> Result:
+    def _write(self, request: Request, layout: Layout, method: str, until: float) -> Result:
         if not layout.stored:
             raise CapabilityUnsupported("a foreign table can't be written")
         if method == "append" and request.input.get("requireAtomic"):
@@ -163,32 +165,39 @@ class Session:
         if set(request.input) - allowed or ("records" in request.input and "data" in request.input):
             raise OperationInvalid(f"{request.operation} takes {sorted(allowed)}")
         records = records_of(request.input.get("records", request.input.get("data")))
-        receipt = self.store.append(layout, records, scope=request.context.digest, tenant=request.context.tenant, batch=self.batch_id(request, layout))
+        own = {"scope": request.context.digest, "tenant": request.context.tenant, "batch": self.batch_id(request, layout)}
+        receipt = self._timed(lambda: self.store.append(layout, records, **own), until)  # a retry finishes what was cut off
         return Result(receipt.to_dict(), provenance={"deduplication": "retry-window", "layoutFingerprint": layout.layout_fingerprint, "visibility": "eventual"})
 
-    def _collect(self, frame: DataFrame, seconds: float) -> list:
-        """Rows, or ``DeadlineExceeded``: jobs still running then are cancelled."""
+    def _timed(self, work: Callable[[], object], until: float) -> object:
+        """What ``work`` returns, or ``DeadlineExceeded``: jobs still running then are cancelled."""
+        seconds = until - time.monotonic()
+        if seconds <= 0:
+            raise DeadlineExceeded("the deadline has passed")
         tag, late = f"brinefold-{uuid.uuid4().hex}", threading.Event()
 
         def stop() -> None:
             late.set()
-            self.spark.interruptTag(tag)
+            self.spark.sparkContext.cancelJobsWithTag(tag)
 
         timer = threading.Timer(seconds, stop)
-        self.spark.addTag(tag)
+        self.spark.sparkContext.addJobTag(tag)
         timer.start()
         try:
-            return frame.collect()
+            made = work()
+            if late.is_set():  # done, but not in time; a write that is sent again finds itself done
+                raise DeadlineExceeded(f"the operation took over {seconds:.1f} s")
+            return made
         except Exception as e:
-            if late.is_set():
+            if late.is_set() and not isinstance(e, DeadlineExceeded):
                 raise DeadlineExceeded(f"the operation took over {seconds:.1f} s") from e
             raise
         finally:
             timer.cancel()
-            self.spark.removeTag(tag)
+            self.spark.sparkContext.removeJobTag(tag)
 
-    def _read(self, plan: Compiled, layout: Layout, seconds: float) -> Result:
-        rows = [] if plan.empty else self._collect(plan.frame, seconds)  # page_size + 1 rows at most
+    def _read(self, plan: Compiled, layout: Layout, until: float) -> Result:
+        rows = [] if plan.empty else self._timed(plan.frame.collect, until)  # page_size + 1 rows at most
         if plan.aggregate and len(rows) > plan.page_size:
             raise LimitExceeded(f"more than {plan.page_size} groups, which have no order to be cut in")
         shown = [r.asDict() for r in rows[: plan.page_size]]
@@ -202,7 +211,7 @@ class Session:
         cursor = None
         if not plan.aggregate and len(rows) > plan.page_size:
             cursor = self._signer.issue(plan.binding, place_of(shown[-1], plan.sorts))
-        total = None if plan.counted is None else 0 if plan.empty else self._collect(plan.counted, seconds)[0]["total"]
+        total = None if plan.counted is None else 0 if plan.empty else self._timed(plan.counted.collect, until)[0]["total"]
         facts = {"pushdown": "complete", "scopePredicate": "first" if layout.stored else "none", "cursor": "signed-live-keyset" if cursor else "none", "layoutFingerprint": layout.layout_fingerprint, "visibility": "eventual"}
         return Result(items, cursor, total, facts)
 

@@ -10,7 +10,7 @@ from dataclasses import dataclass, fields
 class Settings:
     root: str
     binding_id: str = "main"
-    cursor_secret: str = "change-me"
+    cursor_secret: str | None = None  # none: cursors hold within one session only
     max_batch_rows: int = 10_000
     max_batch_bytes: int = 16 << 20
     max_time_range_seconds: int = 31 * 86_400
@@ -37,7 +37,7 @@ class Settings:
             value = getattr(self, name)
             if isinstance(value, bool) or not isinstance(value, int) or not least <= value <= most:
                 raise ValueError(f"{name} must be a whole number from {least} to {most}")
-        for name in ("root", "binding_id", "cursor_secret"):
+        for name in ("root", "binding_id", *(["cursor_secret"] if self.cursor_secret is not None else [])):
             if not isinstance(getattr(self, name), str) or not getattr(self, name):
                 raise ValueError(f"{name} must be text")
 

@@ -28,7 +28,11 @@ class Files:
             stream.close()
 
     def create(self, path: str, text: str) -> bool:
-        """Write a file unless it is there; whether this call made it."""
+        """Write a file unless it is there; whether this call made it.
+
+        Between two writers at once the file system decides: it needs a rename that refuses an existing target, as
+        HDFS has. Object stores without one need a table format or a lock in front of them.
+        """
         system, where = self._at(path)
         if system.exists(where):
             return False
@@ -47,6 +51,10 @@ class Files:
         stream.write(bytearray(text.encode()))
         stream.close()
 
+    def make(self, path: str) -> None:
+        system, where = self._at(path)
+        system.mkdirs(where)
+
     def names(self, path: str) -> list[str]:
         system, where = self._at(path)
         return sorted(s.getPath().getName() for s in system.listStatus(where)) if system.exists(where) else []

@@ -1,11 +1,15 @@
 """Tables of Parquet files: ``<root>/<resource>/data/_sys_scope=/_sys_period=/_sys_batch=``.
 
-Scope and period are partition columns, so that a query reads only its scope's files of its time range.
-Rows within a file are sorted by the sort key, whose row-group statistics then skip within it.
+Scope and period are partition columns. A query names its scope's folders of its time range to the reader, so that no
+others are even listed. Rows within a file are sorted by the sort key, whose row-group statistics then skip within it.
 
 A batch is written below its own identifier with dynamic partition overwrite. A ledger entry is made before,
 with the ingestion time, and another after. A retry of a batch that was finished writes nothing; one of a batch that
 was not writes again with the first ingestion time, so that a late retry can't overtake newer versions.
+
+Compaction adds a batch to a period and a note of the batches that it replaces, ``<root>/<resource>/replaced/<scope>/<period>/``.
+The note decides what readers see: until it is there, not the new batch, and from then on, not the old ones. Those are
+deleted only by a later ``sweep``, as queries that began before may still read them.
 """
 
 from __future__ import annotations
@@ -13,14 +17,14 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import LayoutDrift, LimitExceeded, OperationInvalid
-from ..functions.canonical import canonical_json, row_fingerprint, row_fingerprint_column
+from ..functions.canonical import canonical_json, row_fingerprint
 from ..functions.timestamps import SECOND, period_of, period_text
 from ..layout import BATCH, INGESTED, ORDINAL, PARTITIONED, PERIOD, RESOURCE, ROW, SCOPE, TENANT, VERSION, Layout
 from ..operators.dedup import collapse
@@ -58,22 +62,25 @@ def check_bounds(records: Sequence[Mapping[str, object]], settings: Settings) ->
 
 
 def coerce(record: Mapping[str, object], layout: Layout) -> dict[str, object]:
-    """Stored values of a record. Unknown, missing and null fields are refused where the schema does not allow them."""
-    unknown = set(record) - set(layout.by_name)
-    if unknown:
-        raise OperationInvalid(f"the record has unknown fields {sorted(unknown)}")
-    made = {}
-    for f in layout.fields:
-        if f.name not in record and not f.nullable:
-            raise OperationInvalid(f"the record lacks {f.name!r}")
-        value = record.get(f.name)
-        if value is None and not f.nullable:
-            raise OperationInvalid(f"{f.name!r} can't be null")
+    """Stored values of a record, which may have the schema's fields only and needs those that can't be null."""
+    stored, wrong = {}, [f"has unknown fields {sorted(odd)}"] if (odd := record.keys() - layout.by_name.keys()) else []
+    for name, field in layout.by_name.items():
+        if not field.nullable and record.get(name) is None:
+            wrong.append(f"has a null for {name!r}" if name in record else f"lacks {name!r}")
+            continue
         try:
-            made[f.name] = f.kind.coerce(value, many=f.many)
+            stored[name] = field.kind.coerce(record.get(name), many=field.many)
         except (TypeError, ValueError) as e:
-            raise OperationInvalid(f"{f.name!r}: {e}") from e
-    return made
+            wrong.append(f"has a wrong {name!r}: {e}")
+    if wrong:
+        raise OperationInvalid(f"the record {wrong[0]}")
+    return stored
+
+
+#: Name of a batch that compaction made.
+COMPACTED = "compact-"
+#: Partitions that one job compacts.
+COMPACT_AT_A_TIME = 1000
 
 
 class Store:
@@ -86,11 +93,41 @@ class Store:
     def data_path(self, layout: Layout) -> str:
         return f"{self._base(layout)}/data"
 
-    def table(self, layout: Layout) -> DataFrame:
-        """All rows and columns as they are stored. The schema is given, never inferred."""
-        if not self.files.exists(self.data_path(layout)):
+    def table(self, layout: Layout, scope: str | None = None, span: tuple[int, int] | None = None) -> DataFrame:
+        """All rows and columns as they are stored, of a scope and of the periods that a range of instants touches if given.
+
+        The schema is given, never inferred, and only folders that can hold such rows are listed.
+        """
+        folders = [x for part in self._partitions(layout, scope, span) for x in self._live(layout, *part)]
+        if not folders:
             return self.spark.createDataFrame([], layout.spark_schema())
-        return self.spark.read.schema(layout.spark_schema()).parquet(self.data_path(layout))
+        return self._read(layout, folders)
+
+    def _read(self, layout: Layout, folders: Sequence[str]) -> DataFrame:
+        return self.spark.read.schema(layout.spark_schema()).option("basePath", self.data_path(layout)).parquet(*folders)
+
+    def _notes(self, layout: Layout, scope: str, period: str) -> dict[str, dict]:
+        """What each compacted batch of a partition replaces, and since when."""
+        base = f"{self._base(layout)}/replaced/{scope}/{period}"
+        return {n.removesuffix(".json"): json.loads(self.files.read(f"{base}/{n}")) for n in self.files.names(base) if n.endswith(".json")}
+
+    def _batches(self, layout: Layout, scope: str, period: str) -> tuple[list[str], bool]:
+        """The batches that readers of a partition see, and whether that is all of them."""
+        there = [n.split("=", 1)[1] for n in self.files.names(self._folder(layout, scope, period)) if n.startswith(f"{BATCH}=")]
+        notes = self._notes(layout, scope, period)
+        gone = {n for note in notes.values() for n in note["replaced"]}
+        seen = [n for n in there if n not in gone and (n in notes or not n.startswith(COMPACTED))]
+        return seen, len(seen) == len(there)
+
+    def _live(self, layout: Layout, scope: str, period: str) -> list[str]:
+        folder = self._folder(layout, scope, period)
+        seen, every = self._batches(layout, scope, period)
+        return ([folder] if seen else []) if every else [f"{folder}/{BATCH}={n}" for n in seen]
+
+    def create(self, layout: Layout) -> None:
+        """Make the folders of a table that has no rows yet."""
+        for path in (self.data_path(layout), f"{self._base(layout)}/ledger"):
+            self.files.make(path)
 
     def now(self) -> int:
         return self._clock()
@@ -103,10 +140,10 @@ class Store:
         rows = []
         for n, record in enumerate(records):
             values = coerce(record, layout)
-            hidden = {TENANT: tenant or "", ROW: row_fingerprint(record, layout.names), RESOURCE: layout.resource.canonical, VERSION: layout.schema_version, INGESTED: 0, ORDINAL: n}
+            hidden = {TENANT: tenant or "", ROW: "", RESOURCE: layout.resource.canonical, VERSION: layout.schema_version, INGESTED: 0, ORDINAL: n}
             rows.append(hidden | values | {SCOPE: scope, PERIOD: period_text(values[layout.timestamp], layout.partition), BATCH: batch})
         schema = layout.spark_schema()
-        return self._write(layout, lambda: self.spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows], schema), len(rows), batch)
+        return self._write(layout, lambda: self.spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows], schema).withColumn(ROW, row_fingerprint(layout.names)), batch)
 
     def append_frame(self, layout: Layout, frame: DataFrame, *, scope: str, tenant: str | None, batch: str) -> Receipt:
         """Append a frame of stored types, of any size, without rows passing through the driver.
@@ -120,58 +157,80 @@ class Store:
                 raise OperationInvalid(f"{f.name!r} has the type {frame.schema[f.name].dataType.simpleString()}")
         strict = [n for n, f in layout.by_name.items() if not f.nullable]
         checked = frame.select(*[F.coalesce(F.col(f"`{n}`"), F.raise_error(F.lit(f"{n} can't be null"))).alias(n) if n in strict else F.col(f"`{n}`") for n in layout.names])
-        mark = row_fingerprint_column(layout.names)
+        mark = row_fingerprint(layout.names)
         ticks = F.col(f"`{layout.timestamp}`")
         hidden = {TENANT: F.lit(tenant or ""), ROW: mark, RESOURCE: F.lit(layout.resource.canonical), VERSION: F.lit(layout.schema_version), INGESTED: F.lit(0).cast("long"), ORDINAL: F.conv(F.substring(mark, 1, 15), 16, 10).cast("long"), SCOPE: F.lit(scope), PERIOD: period_of(ticks, layout.partition), BATCH: F.lit(batch)}
         rows = checked.select("*", *[c.alias(n) for n, c in hidden.items()]).select(*layout.spark_schema().names)
-        return self._write(layout, lambda: rows.repartition(F.col(PERIOD), F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in layout.identity]), F.lit(64))), None, batch)
+        # periods together, in as many tasks and files as their sizes ask for
+        return self._write(layout, lambda: rows.hint("rebalance", PERIOD), batch)
 
-    def _write(self, layout: Layout, rows, count: int | None, batch: str) -> Receipt:
+    def _write(self, layout: Layout, rows: Callable[[], DataFrame], batch: str) -> Receipt:
         done = self.files.read(self._ledger(layout, batch, "done"))
         if done is not None:
             return Receipt(json.loads(done)["rows"], batch)
         self.files.create(self._ledger(layout, batch, "begun"), json.dumps({"ingested": self._clock()}))
         ingested = json.loads(self.files.read(self._ledger(layout, batch, "begun")))["ingested"]
-        frame = rows().withColumn(INGESTED, F.lit(ingested).cast("long"))
+        seen = Observation()
+        frame = rows().withColumn(INGESTED, F.lit(ingested).cast("long")).observe(seen, F.count(F.lit(1)).alias("rows"))
         key = [F.col(f"`{k}`") for k in layout.sort_key if k not in PARTITIONED]
         ordered = frame.sortWithinPartitions(*[F.col(c) for c in PARTITIONED], *key)
         ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONED).parquet(self.data_path(layout))
-        if count is None:
-            count = self.table(layout).where(F.col(BATCH) == batch).count()
+        count = seen.get["rows"]
         self.files.create(self._ledger(layout, batch, "done"), json.dumps({"ingested": ingested, "rows": count, "at": self._clock()}))
         return Receipt(count, batch)
 
-    def _partitions(self, layout: Layout) -> list[tuple[str, str]]:
-        """(scope, period) of all partitions, from the names of folders."""
+    def _partitions(self, layout: Layout, scope: str | None = None, span: tuple[int, int] | None = None) -> list[tuple[str, str]]:
+        """(scope, period) of the partitions, from the names of folders."""
         base = self.data_path(layout)
-        scopes = [n for n in self.files.names(base) if n.startswith(f"{SCOPE}=")]
-        return [(s.split("=", 1)[1], p.split("=", 1)[1]) for s in scopes for p in self.files.names(f"{base}/{s}") if p.startswith(f"{PERIOD}=")]
+        scopes = [scope] if scope is not None else [n.split("=", 1)[1] for n in self.files.names(base) if n.startswith(f"{SCOPE}=")]
+        least, most = ("", "~") if span is None else (period_text(t, layout.partition) for t in span)
+        found = [(s, n.split("=", 1)[1]) for s in scopes for n in self.files.names(f"{base}/{SCOPE}={s}") if n.startswith(f"{PERIOD}=")]
+        return [(s, p) for s, p in found if least <= p <= most]
 
     def _folder(self, layout: Layout, scope: str, period: str) -> str:
         return f"{self.data_path(layout)}/{SCOPE}={scope}/{PERIOD}={period}"
 
     def compact(self, layout: Layout) -> int:
-        """Rewrite each partition of several batches as one without replaced versions; partitions rewritten.
+        """Rewrite partitions of several finished batches as one each, without replaced versions; partitions rewritten.
 
-        The new files come into place before the old ones go. In between both are there, which
-        deduplicating reads do not see. Batches begun meanwhile are left alone.
+        One job rewrites up to ``COMPACT_AT_A_TIME`` partitions, into files of the size that adaptive execution aims at.
+        Batches that are begun and not done are left alone.
         """
-        changed = 0
-        for scope, period in self._partitions(layout):
-            folder = self._folder(layout, scope, period)
-            old = [n for n in self.files.names(folder) if n.startswith(f"{BATCH}=")]
-            if len(old) < 2:
-                continue
-            rows = self.table(layout).where((F.col(SCOPE) == scope) & (F.col(PERIOD) == period) & F.col(BATCH).isin([n.split("=", 1)[1] for n in old]))
-            name, spare = f"compact-{uuid.uuid4().hex}", f"{self._base(layout)}/spare-{uuid.uuid4().hex}"
+        ledger = set(self.files.names(f"{self._base(layout)}/ledger"))
+        open_ = {n.removesuffix(".begun") for n in ledger if n.endswith(".begun")} - {n.removesuffix(".done") for n in ledger if n.endswith(".done")}
+        work = {}
+        for part in self._partitions(layout):
+            old = [n for n in self._batches(layout, *part)[0] if n not in open_]
+            if len(old) > 1:
+                work[part] = old
+        parts = sorted(work)
+        for at in range(0, len(parts), COMPACT_AT_A_TIME):
+            own = parts[at : at + COMPACT_AT_A_TIME]
+            rows = self._read(layout, [f"{self._folder(layout, *p)}/{BATCH}={n}" for p in own for n in work[p]])
+            name, spare = f"{COMPACTED}{uuid.uuid4().hex}", f"{self._base(layout)}/spare-{uuid.uuid4().hex}"
             key = [F.col(f"`{k}`") for k in layout.sort_key if k not in PARTITIONED]
-            whole = collapse(rows, layout) if layout.dedup else rows
-            whole.drop(*PARTITIONED).sortWithinPartitions(*key).write.parquet(spare)
-            self.files.move(spare, f"{folder}/{BATCH}={name}")
-            for n in old:
-                self.files.delete(f"{folder}/{n}")
-            changed += 1
-        return changed
+            whole = (collapse(rows, layout) if layout.dedup else rows).drop(BATCH).hint("rebalance", SCOPE, PERIOD)
+            whole.sortWithinPartitions(SCOPE, PERIOD, *key).write.partitionBy(SCOPE, PERIOD).parquet(spare)
+            for part in own:
+                self.files.move(f"{spare}/{SCOPE}={part[0]}/{PERIOD}={part[1]}", f"{self._folder(layout, *part)}/{BATCH}={name}")
+                self.files.create(f"{self._base(layout)}/replaced/{part[0]}/{part[1]}/{name}.json", json.dumps({"replaced": work[part], "at": self._clock()}))
+            self.files.delete(spare)
+        return len(parts)
+
+    def sweep(self, layout: Layout, grace_seconds: int = 3600) -> int:
+        """Delete batches that were replaced longer ago than that; how many."""
+        gone = 0
+        for scope, period in self._partitions(layout):
+            base = f"{self._base(layout)}/replaced/{scope}/{period}"
+            for name, note in self._notes(layout, scope, period).items():
+                if note["replaced"] and note["at"] + grace_seconds * SECOND < self._clock():
+                    for n in note["replaced"]:
+                        self.files.delete(f"{self._folder(layout, scope, period)}/{BATCH}={n}")
+                        if n.startswith(COMPACTED):
+                            self.files.delete(f"{base}/{n}.json")
+                    self.files.replace(f"{base}/{name}.json", json.dumps({"replaced": [], "at": note["at"]}))
+                    gone += len(note["replaced"])
+        return gone
 
     def expire(self, layout: Layout) -> list[str]:
         """Delete partitions all of whose rows are past their retention; their periods. Reads hide such rows anyway."""
@@ -181,6 +240,7 @@ class Store:
         gone = [(s, p) for s, p in self._partitions(layout) if p < edge]
         for scope, period in gone:
             self.files.delete(self._folder(layout, scope, period))
+            self.files.delete(f"{self._base(layout)}/replaced/{scope}/{period}")
         return sorted({p for _, p in gone})
 
     def forget(self, layout: Layout) -> int:

@@ -105,8 +105,7 @@ class Kind:
         return value
 
     def _take_float64(self, value: object) -> float:
-        if isinstance(value, bool) or not isinstance(value, (int, float)):
-            raise TypeError("a float64 field needs a number")
+        _real(value, "a float64 field's value")
         if not math.isfinite(float(value)):
             raise ValueError("a float64 field needs a finite number")
         return float(value)
@@ -138,19 +137,16 @@ class Kind:
     def _take_wgs84Point(self, value: object) -> tuple[float, float]:  # noqa: N802
         if not isinstance(value, Sequence) or isinstance(value, (str, bytes)) or len(value) != 2:
             raise TypeError("a point is [longitude, latitude]")
-        if any(isinstance(x, bool) or not isinstance(x, (int, float)) for x in value):
-            raise TypeError("a point's coordinates are numbers")
-        lon, lat = map(float, value)
+        lon, lat = (float(_real(x, "a point's coordinate")) for x in value)
         if not (abs(lon) <= 180 and abs(lat) <= 90):
             raise ValueError("a point's coordinates are out of range")
         return lon, lat
 
     def number(self, value: object) -> Decimal:
         """A decimal. Floating-point numbers count by their shortest spelling, not their binary expansion."""
-        if isinstance(value, bool) or not isinstance(value, (str, int, float)):
-            raise TypeError("a decimal field needs text or a number")
+        text = value if isinstance(value, str) else repr(_real(value, "a decimal field's value"))
         try:
-            found = Decimal(repr(value) if isinstance(value, float) else value)
+            found = Decimal(text)
         except InvalidOperation as e:
             raise ValueError(f"not a decimal: {value!r}") from e
         if not found.is_finite():
@@ -203,6 +199,12 @@ class Kind:
         return value
 
 
+def _real(value: object, what: str) -> int | float:
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return value
+    raise TypeError(f"{what} must be a number")
+
+
 def ticks_of(at) -> int:
     """Nanoseconds of a datetime without zone."""
     from datetime import datetime, timedelta

@@ -402,3 +402,109 @@ def test_instant_columns(spark):
     texts = ["1969-12-31T23:59:59.999999999Z", "2024-01-02 03:04:05.5+01:00", "2024-01-02t03:04:05z", "2024-01-02", None, "2024-01-02T03:04:05.1234567891Z"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(instant_column(F.col("t"))).collect()]
     assert got == [parse_instant(t) for t in texts[:3]] + [None] * 3
+
+
+def test_both_ways_of_writing_are_one_evidence(make, spark):
+    session, layout = make("evidence")
+    write(session, layout, [point(i, i / 7, NOON + i, "a" if i % 2 else None) for i in range(20)])
+    frame = spark.range(20).select((F.lit(NOON) + F.col("id")).alias("observed_at"), F.concat(F.lit("checkout-"), "id").alias("series_id"), F.when(F.col("id") % 2 == 1, "a").alias("service"), (F.col("id") / 7).alias("value"))
+    session.store.append_frame(layout, frame, batch="b", scope=Context("t", {"site": "x"}).digest, tenant="t")
+    assert session.store.table(layout).count() == 40
+    assert len(read(session, layout, {"where": {"observed_at": DAY}}).data) == 20
+
+
+def test_only_folders_of_the_range_are_listed(make):
+    session, layout = make("evidence", partition="day")
+    write(session, layout, [point(i, 1.0, NOON + i * 86_400 * 10**9) for i in range(-3, 3)])
+    write(session, layout, [point(i, 1.0, NOON + i * 86_400 * 10**9) for i in range(-3, 3)], tenant="other")
+    seen, names = [], session.store.files.names
+    session.store.files.names = lambda path: seen.append(path) or names(path)
+    plan = session.compile(Request.of("evidence.query", layout.resource, {"where": {"observed_at": DAY}}, context=Context("t", {"site": "x"})))
+    listed = [x for x in seen if "_sys_period=" in x]
+    assert len(listed) == 2 and all("2024-03-05" in x or "2024-03-06" in x for x in listed)  # the range ends with a day's first instant
+    assert len(plan.frame.inputFiles()) == 2 and len(read(session, layout, {"where": {"observed_at": DAY}}).data) == 1
+
+
+@pytest.mark.parametrize("dedup", [True, False])
+def test_replaced_batches_stay_for_running_queries(make, dedup):
+    now = [NOON]
+    session, layout = make("evidence", append_only=False, dedup=dedup, clock=lambda: now[0])
+    for k in range(3):
+        write(session, layout, [point(i, float(k)) for i in range(4)], idempotency_key=str(k))
+    query = {"where": {"observed_at": DAY}, "orderBy": [{"field": "value", "direction": "asc"}]}
+    before, running = read(session, layout, query).data, session.store.table(layout)
+    open_batch = "b1_open"
+    session.store.files.create(session.store._ledger(layout, open_batch, "begun"), json.dumps({"ingested": NOON}))
+    assert session.store.compact(layout) == 1 and session.store.compact(layout) == 0
+    assert read(session, layout, query).data == before and running.count() == 12
+    assert session.store.sweep(layout) == 0
+    now[0] += 3601 * 10**9
+    assert session.store.sweep(layout) == 3 and session.store.sweep(layout) == 0
+    assert read(session, layout, query).data == before
+    write(session, layout, point(9, 9.0), idempotency_key="more")
+    assert session.store.compact(layout) == 1
+    assert len(read(session, layout, query).data) == len(before) + 1
+    now[0] += 3601 * 10**9
+    assert session.store.sweep(layout) == 2 and len(read(session, layout, query).data) == len(before) + 1
+
+
+def test_writes_keep_deadlines(make):
+    session, layout = make()
+    import time
+
+    slow = session.store.append
+    session.store.append = lambda *a, **k: (time.sleep(1.5), slow(*a, **k))[1]
+    with pytest.raises(DeadlineExceeded):
+        write(session, layout, point(1, 1.0), deadline=time.time() + 1, idempotency_key="k")
+    session.store.append = slow
+    assert write(session, layout, point(1, 1.0), idempotency_key="k").data["acceptedRows"] == 1
+    assert len(read(session, layout, {"where": {"observed_at": DAY}}).data) == 1
+
+
+def test_cursors_of_another_session_or_layout(make):
+    session, layout = make("evidence")
+    write(session, layout, [point(i, 1.0) for i in range(4)])
+    query = {"where": {"observed_at": DAY}, "limit": 2}
+    cursor = read(session, layout, query).cursor
+    assert len(read(session, layout, query | {"cursor": cursor}).data) == 2
+    again, _ = make("evidence")  # without a secret of its own
+    with pytest.raises(CursorInvalid):
+        read(again, layout, query | {"cursor": cursor})
+    first, _ = make("evidence", cursor_secret="s")
+    cursor = read(first, layout, query).cursor
+    other, changed = make("evidence", cursor_secret="s", profile="metric")
+    with pytest.raises(CursorInvalid):
+        read(other, changed, query | {"cursor": cursor})
+
+
+@pytest.mark.parametrize("kind", ["float64", "int64", {"kind": "decimal", "precision": 76, "scale": 18}, {"kind": "decimal", "precision": 38, "scale": 10}])
+def test_quantiles_equal_sorted_values(make, kind):
+    rng = random.Random(str(kind))
+    numbers = [rng.choice([rng.randint(-5, 5), rng.randint(-(10**6), 10**6)]) for _ in range(3000)]
+    spelled = (lambda n: n) if isinstance(kind, str) else (lambda n: f"{n}.5")
+    session, layout = make("evidence", Schema((Field.of("id", "int64"), Field.of("at", "utcTimestamp"), Field.of("g", "string", nullable=True), Field.of("v", kind, nullable=True)), ("id",)))
+    rows = [{"id": i, "at": "2024-03-05T12:00:00Z", "g": rng.choice(["a", "b", None]), "v": None if i % 10 == 0 else spelled(n)} for i, n in enumerate(numbers)]
+    rows += [{"id": 5000, "at": "2024-03-05T12:00:00Z", "g": "alone", "v": spelled(1)}, {"id": 5001, "at": "2024-03-05T12:00:00Z", "g": "none"}]
+    write(session, layout, rows)
+    shares = [0.001, 0.5, 0.99]
+    metrics = [{"name": f"q{i}", "function": "quantile", "field": "v", "quantile": q} for i, q in enumerate(shares)] + [{"name": "n", "function": "count", "field": "v"}]
+    from decimal import Decimal
+
+    def want(group):
+        own = sorted((Decimal(str(r["v"])) for r in rows if r.get("v") is not None and (group == "*" or r["g"] == group)))
+        return [own[int(q * len(own))] if own else None for q in shares] + [len(own)]
+
+    for keys in ([], ["g"]):
+        got = read(session, layout, {"where": {"at": DAY}, "metrics": metrics, **({"groupBy": keys} if keys else {})}).data
+        assert len(got) == (5 if keys else 1)
+        for r in got:
+            assert [None if r[f"q{i}"] is None else Decimal(str(r[f"q{i}"])) for i in range(3)] + [r["n"]] == want(r["g"] if keys else "*")
+
+
+def test_probe_refuses_old_versions():
+    from types import SimpleNamespace
+
+    from brinefold.health import probe
+
+    fake = lambda v: SimpleNamespace(version=v, catalog=SimpleNamespace(functionExists=lambda f: True), conf=SimpleNamespace(get=lambda k: "UTC"))
+    assert probe(fake("4.1.2"))["ready"] and not probe(fake("3.5.1"))["ready"]
