@@ -251,7 +251,10 @@ def cursor_traversal(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n in range(4):
         request = Request.of("structured.query", EVENTS.resource, value)
         pages.append(session.compile(request).visible.select(F.lit(n).alias("page"), "event_id"))
-        value = value | {"cursor": session.execute(request).cursor}
+        cursor = session.execute(request).cursor
+        if cursor is None:
+            break
+        value = value | {"cursor": cursor}
     return reduce(DataFrame.union, pages)
 
 
