@@ -83,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ann": op10_ann,
 }
 
+
 def _sharding_sql() -> str:
     """The filled table stands in the statement as two hex digits a slot; hashing and placement are SQL."""
     owner = "".join(f"{i:02x}" for i in sharding.fill_table([f"shard-{i}" for i in range(sharding.SHARDS)]))
@@ -115,8 +116,61 @@ _WARC_SQL = """
     FROM m
 """
 
+#: Words and masks as ``decontamination`` has them (windows of 12 words with 10 equal ones), with words joined where the operator hashes them.
+_LEAKS_SQL = r"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+    b AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+    spots AS (SELECT item_id, w, len(w) < 12 AS short, unnest(range(0, CASE WHEN len(w) < 12 THEN 1 ELSE len(w) - 4 END)) AS a FROM b WHERE len(w) > 0),
+    owners AS (SELECT DISTINCT item_id, short, least(a, 7) AS lead, w[a - least(a, 7) + 1 : a + 12] AS around FROM spots),
+    places AS (SELECT row_number() OVER () AS place, short, lead, around FROM (SELECT DISTINCT short, lead, around FROM owners)),
+    seeds AS (
+        SELECT place, 0 AS n, array_to_string(around[lead + 1 : lead + 5], ' ') AS k FROM places WHERE NOT short
+        UNION ALL SELECT place, 1, array_to_string(around[lead + 1 : lead + 3] || around[lead + 5 : lead + 6], ' ') FROM places WHERE NOT short AND len(around) >= lead + 6
+        UNION ALL SELECT place, -len(around), array_to_string(around, ' ') FROM places WHERE short
+    ),
+    starts AS (SELECT r, w, unnest(range(0, len(w))) AS p FROM d WHERE len(w) > 0),
+    probes AS (
+        SELECT r, p, 0 AS n, array_to_string(w[p + 1 : p + 5], ' ') AS k FROM starts WHERE len(w) >= p + 5
+        UNION ALL SELECT r, p, 1, array_to_string(w[p + 1 : p + 3] || w[p + 5 : p + 6], ' ') FROM starts WHERE len(w) >= p + 6
+        UNION ALL SELECT r, p, -s.n, array_to_string(w[p + 1 : p + s.n], ' ') FROM starts, (SELECT DISTINCT len(around) AS n FROM places WHERE short) s WHERE len(w) >= p + s.n
+    ),
+    hits AS (
+        SELECT d.doc_id, place, around, list_transform(range(1, len(around) + 1), lambda i: CASE WHEN p - lead + i >= 1 AND w[greatest(p - lead + i, 1)] = around[i] THEN 1 ELSE 0 END) AS equal
+        FROM probes JOIN seeds USING (n, k) JOIN places USING (place) JOIN d USING (r)
+    ),
+    found AS (SELECT doc_id, place, least(len(around), 12) AS width, list_max(list_transform(range(1, len(equal) + 1), lambda e: list_sum(equal[greatest(e - 11, 1) : e]))) AS matches FROM hits)
+    SELECT doc_id, item_id, CAST(max(matches) AS INTEGER) AS matches, CAST(max(width) AS INTEGER) AS "window", count(*) AS n_hits
+    FROM found JOIN places USING (place) JOIN owners USING (short, lead, around)
+    WHERE matches >= CASE WHEN width < 12 THEN width ELSE 10 END
+    GROUP BY doc_id, item_id
+"""
+
+
+def _licenses_sql() -> str:
+    """Every block of a text that has enough of a template's words, without the filters; templates stand in the statement."""
+    known = ", ".join(f"({n}, '{t.label}', '{b' '.join(t.words).decode()}', {str(t.phrase).lower()}, {t.need}, {t.window})" for n, t in enumerate(licenses.templates()))
+    return rf"""
+        WITH t(n, label, line, phrase, need, width) AS (VALUES {known}),
+        k AS (SELECT label, string_split(line, ' ') AS line, list_distinct(string_split(line, ' ')) AS own, phrase, need, width FROM t),
+        d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        u AS (SELECT r, w, list_distinct(w) AS own FROM d),
+        near AS (SELECT r, w, k.*, unnest(range(0, greatest(1, len(w) - width + 1))) AS place FROM u JOIN k ON len(list_intersect(u.own, k.own)) >= need),
+        blocks AS (SELECT r, label, phrase, place, w[place + 1 : place + width] AS block, line, own, need FROM near),
+        found AS (SELECT r, label, phrase, place, len(list_intersect(list_distinct(block), own)) AS shared, len(own) AS size, need FROM blocks WHERE NOT phrase OR block = line),
+        f AS (
+            SELECT r, count(*) FILTER (phrase) AS n_base, min(place) FILTER (phrase) AS first_word, max(place) FILTER (phrase) AS last_word,
+                string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(shared / size) AS score
+            FROM found WHERE shared >= need GROUP BY r
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+        FROM d LEFT JOIN f USING (r)
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_sharding": _sharding_sql(),
     "op2_url_filter": _URL_SQL,
     "op4_warc": _WARC_SQL,
+    "op5_decontamination": _LEAKS_SQL,
+    "op8_licenses": _licenses_sql(),
 }

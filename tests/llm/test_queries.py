@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
 def test_equals_sql(spark, name):
     database = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         database.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df, found = QUERIES[name](spark, SF), database.execute(ORACLE_SQL[name])
     rows, columns = found.fetchall(), [d[0] for d in found.description]
