@@ -98,7 +98,8 @@ class Store:
 
         The schema is given, never inferred, and only folders that can hold such rows are listed.
         """
-        folders = [x for part in self._partitions(layout, scope, span) for x in self._live(layout, *part)]
+        live = self.files.each(lambda part: self._live(layout, *part), self._partitions(layout, scope, span))
+        folders = [x for found in live for x in found]
         if not folders:
             return self.spark.createDataFrame([], layout.spark_schema())
         return self._read(layout, folders)
@@ -184,7 +185,8 @@ class Store:
         base = self.data_path(layout)
         scopes = [scope] if scope is not None else [n.split("=", 1)[1] for n in self.files.names(base) if n.startswith(f"{SCOPE}=")]
         least, most = ("", "~") if span is None else (period_text(t, layout.partition) for t in span)
-        found = [(s, n.split("=", 1)[1]) for s in scopes for n in self.files.names(f"{base}/{SCOPE}={s}") if n.startswith(f"{PERIOD}=")]
+        named = self.files.each(lambda s: self.files.names(f"{base}/{SCOPE}={s}"), scopes)
+        found = [(s, n.split("=", 1)[1]) for s, names in zip(scopes, named) for n in names if n.startswith(f"{PERIOD}=")]
         return [(s, p) for s, p in found if least <= p <= most]
 
     def _folder(self, layout: Layout, scope: str, period: str) -> str:
@@ -198,11 +200,9 @@ class Store:
         """
         ledger = set(self.files.names(f"{self._base(layout)}/ledger"))
         open_ = {n.removesuffix(".begun") for n in ledger if n.endswith(".begun")} - {n.removesuffix(".done") for n in ledger if n.endswith(".done")}
-        work = {}
-        for part in self._partitions(layout):
-            old = [n for n in self._batches(layout, *part)[0] if n not in open_]
-            if len(old) > 1:
-                work[part] = old
+        every = self._partitions(layout)
+        seen = self.files.each(lambda part: [n for n in self._batches(layout, *part)[0] if n not in open_], every)
+        work = {part: old for part, old in zip(every, seen) if len(old) > 1}
         parts = sorted(work)
         for at in range(0, len(parts), COMPACT_AT_A_TIME):
             own = parts[at : at + COMPACT_AT_A_TIME]
@@ -211,9 +211,12 @@ class Store:
             key = [F.col(f"`{k}`") for k in layout.sort_key if k not in PARTITIONED]
             whole = (collapse(rows, layout) if layout.dedup else rows).drop(BATCH).hint("rebalance", SCOPE, PERIOD)
             whole.sortWithinPartitions(SCOPE, PERIOD, *key).write.partitionBy(SCOPE, PERIOD).parquet(spare)
-            for part in own:
+
+            def settle(part: tuple[str, str], name: str = name, spare: str = spare) -> None:
                 self.files.move(f"{spare}/{SCOPE}={part[0]}/{PERIOD}={part[1]}", f"{self._folder(layout, *part)}/{BATCH}={name}")
                 self.files.create(f"{self._base(layout)}/replaced/{part[0]}/{part[1]}/{name}.json", json.dumps({"replaced": work[part], "at": self._clock()}))
+
+            self.files.each(settle, own)
             self.files.delete(spare)
         return len(parts)
 
