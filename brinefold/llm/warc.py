@@ -9,7 +9,11 @@ Reading: files are parsed by content length. Segments are grouped by the identif
 in order by their numbers, and held against the total length that the last one states; then the chunked
 framing is decoded and the digest verified.
 
-Defined results: a null payload is empty; a null id is kept as null; rows that are repeated with the id
+Revisits name the response that they refer to by its page's id, in a field of its own, and for other readers by its
+address and date, if it has an address. Ids are spelled with all but letters, digits and ``_.-~`` percent-encoded.
+
+Defined results: a null payload is empty; a null id is kept as null; ids may be of any type that a text can be cast
+back to; rows that are repeated with the id
 of the chosen response are responses too; a malformed stretch of an archive is skipped to the next record;
 a record with a missing segment, wrong total length, broken framing or wrong digest is returned with its
 ``error`` and no payload; an empty table gives no records. Columns that are not named are not written.
@@ -22,6 +26,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -77,13 +82,17 @@ def _line(value: str | None) -> str | None:
     return None if value is None else "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
 
 
-def records_of(page_id: object, url: str | None, payload: bytes | None, digest: str, refers_to: object, serial: int, segment_bytes: int = SEGMENT_BYTES) -> Iterator[bytes]:
-    """The WARC records of one page. ``refers_to``: the id of the page that it revisits."""
+def _spelled(page_id: object) -> str | None:
+    return None if page_id is None else quote(str(page_id), safe="")
+
+
+def records_of(page_id: object, url: str | None, payload: bytes | None, digest: str, refers_to: object, there: str | None, serial: int, segment_bytes: int = SEGMENT_BYTES) -> Iterator[bytes]:
+    """The WARC records of one page. ``refers_to`` and ``there``: id and address of the page that it revisits."""
     own = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}/{serial}')}>"
-    fields = {"WARC-Record-ID": own, "WARC-Date": DATE, "WARC-Target-URI": _line(url), "WARC-Payload-Digest": f"sha1:{digest}", "Page-Id": page_id}
+    fields = {"WARC-Record-ID": own, "WARC-Date": DATE, "WARC-Target-URI": _line(url), "WARC-Payload-Digest": f"sha1:{digest}", "Page-Id": _spelled(page_id)}
     if refers_to is not None:
         profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-        yield _record("revisit", fields | {"WARC-Profile": profile, "Refers-To-Page-Id": refers_to, "Content-Type": "application/http;msgtype=response"}, b"HTTP/1.1 200 OK\r\n\r\n")
+        yield _record("revisit", fields | {"WARC-Profile": profile, "WARC-Refers-To-Target-URI": _line(there), "WARC-Refers-To-Date": DATE if there is not None else None, "Refers-To-Page-Id": _spelled(refers_to), "Content-Type": "application/http;msgtype=response"}, b"HTTP/1.1 200 OK\r\n\r\n")
         return
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload or b"")
     fields["Content-Type"] = "application/http;msgtype=response"
@@ -97,8 +106,8 @@ def records_of(page_id: object, url: str | None, payload: bytes | None, digest:
         if n == 1:
             yield _record("response", fields | {"WARC-Segment-Number": 1}, part)
         else:
-            there = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{own}/{n}')}>"
-            yield _record("continuation", {"WARC-Record-ID": there, "WARC-Date": DATE, "WARC-Segment-Origin-ID": own, "WARC-Segment-Number": n, "WARC-Segment-Total-Length": total}, part)
+            part_id = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{own}/{n}')}>"
+            yield _record("continuation", {"WARC-Record-ID": part_id, "WARC-Date": DATE, "WARC-Segment-Origin-ID": own, "WARC-Segment-Number": n, "WARC-Segment-Total-Length": total}, part)
 
 
 def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", revisit_min: int = REVISIT_MIN_BYTES, segment_bytes: int = SEGMENT_BYTES) -> None:
@@ -108,16 +117,19 @@ def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str
     with at most one row a digest on the other side, whose hot digests adaptive execution splits.
     """
     source = private(pages, id=id_col, url=url_col, payload=payload_col)
-    source = source.select("id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("payload").cast("binary"), F.lit(b"")).alias("payload"))
+    source = source.select(F.col("id").alias("own"), F.col("id").cast("string").alias("id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("payload").cast("binary"), F.lit(b"")).alias("payload"))
     source = source.withColumn("digest", F.sha1("payload"))
     large = F.octet_length("payload") >= revisit_min
-    first = source.where(large).groupBy("digest").agg(F.max("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    source = source.join(first, "digest", "left").select("id", "url", F.when(F.col("first").isNull() | F.col("first").eqNullSafe(F.col("id")), F.col("payload")).alias("payload"), "digest", F.when(F.col("first") != F.coalesce("id", F.col("first") - 1), F.col("first")).alias("refers_to"), F.monotonically_increasing_id().alias("serial"))
+    named = F.when(F.col("id").isNotNull(), F.struct("own", "id", "url"))
+    first = source.where(large).groupBy("digest").agg(F.max(named).alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").drop("n")
+    source = source.join(first, "digest", "left")
+    again = F.col("first").isNotNull() & large & ~F.col("first.id").eqNullSafe(F.col("id"))
+    source = source.select("id", "url", F.when(~again, F.col("payload")).alias("payload"), "digest", F.when(again, F.col("first.id")).alias("refers_to"), F.when(again, F.col("first.url")).alias("there"), F.monotonically_increasing_id().alias("serial"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack, held = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(i) for i in range(6))):
+            for row in zip(*(batch.column(i) for i in range(7))):
                 for record in records_of(*(x.as_py() for x in row), segment_bytes=segment_bytes):
                     pack.append(record)
                     held += len(record)
@@ -168,7 +180,7 @@ def decode(block: bytes) -> bytes:
 
 
 _RECORD = T.StructType(
-    [T.StructField(n, t) for n, t in (("record_id", T.StringType()), ("record_type", T.StringType()), ("page_id", T.LongType()), ("url", T.StringType()), ("refers_to", T.LongType()), ("digest", T.StringType()), ("payload", T.BinaryType()), ("error", T.StringType()))]
+    [T.StructField(n, t) for n, t in (("record_id", T.StringType()), ("record_type", T.StringType()), ("page_id", T.StringType()), ("url", T.StringType()), ("refers_to", T.StringType()), ("digest", T.StringType()), ("payload", T.BinaryType()), ("error", T.StringType()))]
 )
 _SEGMENT = T.StructType([T.StructField("number", T.IntegerType()), T.StructField("total", T.LongType()), T.StructField("block", T.BinaryType())])
 _PARSED = T.StructType([*_RECORD.fields, T.StructField("origin", T.StringType()), T.StructField("segment", _SEGMENT)])
@@ -178,6 +190,10 @@ def _number(text: str | None) -> int | None:
     return int(text) if text is not None and re.fullmatch(r"-?\d+", text) else None
 
 
+def _named(text: str | None) -> str | None:
+    return None if text is None else unquote(text)
+
+
 def _payload(block: bytes, digest: str | None) -> tuple[bytes | None, str | None]:
     try:
         payload = decode(block)
@@ -189,17 +205,17 @@ def _payload(block: bytes, digest: str | None) -> tuple[bytes | None, str | None
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """``record_id, record_type, page_id, url, refers_to, digest, payload, error`` of each response and revisit."""
+    """``record_id, record_type, page_id, url, refers_to, digest, payload, error`` of each response and revisit, ids as texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("refers_to", pa.int64()), ("digest", pa.string()), ("payload", pa.binary()), ("error", pa.string()), ("origin", pa.string()), ("segment", pa.struct([("number", pa.int32()), ("total", pa.int64()), ("block", pa.binary())]))])
+        schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.string()), ("url", pa.string()), ("refers_to", pa.string()), ("digest", pa.string()), ("payload", pa.binary()), ("error", pa.string()), ("origin", pa.string()), ("segment", pa.struct([("number", pa.int32()), ("total", pa.int64()), ("block", pa.binary())]))])
         rows, held = [], 0
         for batch in batches:
             for content in batch.column(0):
                 for fields, block in parse(content.as_py()):
                     kind, own, number = fields.get("warc-type"), fields.get("warc-record-id"), _number(fields.get("warc-segment-number"))
                     digest = fields.get("warc-payload-digest", "").removeprefix("sha1:").lower() or None
-                    row = {"record_id": own, "record_type": kind, "page_id": _number(fields.get("page-id")), "url": fields.get("warc-target-uri"), "refers_to": _number(fields.get("refers-to-page-id")), "digest": digest}
+                    row = {"record_id": own, "record_type": kind, "page_id": _named(fields.get("page-id")), "url": fields.get("warc-target-uri"), "refers_to": _named(fields.get("refers-to-page-id")), "digest": digest}
                     if kind not in ("response", "revisit", "continuation"):
                         continue
                     if number is not None:
@@ -215,7 +231,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("refers_to", pa.int64()), ("digest", pa.string()), ("payload", pa.binary()), ("error", pa.string())])
+        schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.string()), ("url", pa.string()), ("refers_to", pa.string()), ("digest", pa.string()), ("payload", pa.binary()), ("error", pa.string())])
         for batch in batches:
             for first, segments in zip(batch.column(0), batch.column(1)):
                 row, parts = first.as_py() or {}, sorted(segments.as_py(), key=lambda s: s["number"])
@@ -243,10 +259,11 @@ def round_trip(pages: DataFrame, **names: str) -> DataFrame:
     A revisit has the payload of the response that it names: its length comes from there.
     """
     spark = pages.sparkSession
+    kind = private(pages, id=names.get("id_col", "page_id")).schema["id"].dataType
     path = shared_path(spark, "archives")
     write(pages, path, **names)
     records = read(spark, path).select("page_id", "url", "record_type", "refers_to", "digest", "error", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
     there = records.where("record_type = 'response' and error is null").groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("there_bytes"))
     joined = records.join(there, ["refers_to", "digest"], "left")
     revisit = F.col("record_type") == "revisit"
-    return joined.select("page_id", F.when(revisit, F.col("there_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"), F.when(revisit, F.col("digest")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to", "url", "error")
+    return joined.select(F.col("page_id").cast(kind).alias("page_id"), F.when(revisit, F.col("there_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"), F.when(revisit, F.col("digest")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", F.col("refers_to").cast(kind).alias("refers_to"), "url", "error")

@@ -50,7 +50,7 @@ def test_round_trip(spark, segment):
     path = shared_path(spark, "test-archives")
     warc.write(pages, path, segment_bytes=segment)
     back = warc.read(spark, path)
-    full = {(r.page_id, bytes(r.payload)) for r in back.where("record_type = 'response'").collect()}
+    full = {(None if r.page_id is None else int(r.page_id), bytes(r.payload)) for r in back.where("record_type = 'response'").collect()}
     assert full == {(i, (t or "").encode()) for i, t in PAYLOADS if (i, "response") in {(e[0], e[3]) for e in expected(PAYLOADS) if e[1] == len((t or "").encode())}}
     assert back.where("error is not null").count() == 0
     assert {r.url for r in back.where("page_id = 1").collect()} == {"http://x/1%0D%0AInjected: y"}
@@ -59,19 +59,31 @@ def test_round_trip(spark, segment):
 
 
 def test_damaged_segments_are_told(spark, tmp_path):
-    records = list(warc.records_of(1, "u", b"x" * 5000, hashlib.sha1(b"x" * 5000).hexdigest(), None, 0, 1000))
-    other = list(warc.records_of(2, "u", b"y" * 5000, hashlib.sha1(b"y" * 5000).hexdigest(), None, 0, 1000))
-    wrong = list(warc.records_of(3, "u", b"z" * 10, hashlib.sha1(b"other").hexdigest(), None, 0, 1000))
+    records = list(warc.records_of(1, "u", b"x" * 5000, hashlib.sha1(b"x" * 5000).hexdigest(), None, None, 0, 1000))
+    other = list(warc.records_of(2, "u", b"y" * 5000, hashlib.sha1(b"y" * 5000).hexdigest(), None, None, 0, 1000))
+    wrong = list(warc.records_of(3, "u", b"z" * 10, hashlib.sha1(b"other").hexdigest(), None, None, 0, 1000))
     cut = [*records[:2], *records[3:]]
     random.Random(1).shuffle(other)
     (tmp_path / "a.warc").write_bytes(b"".join(cut[:2] + other[:3]))
     (tmp_path / "b.warc.gz").write_bytes(gzip.compress(b"".join(cut[2:] + other[3:] + wrong)))
-    got = {r.page_id: (r.payload, r.error) for r in warc.read(spark, f"file://{tmp_path}").collect()}
+    got = {int(r.page_id): (r.payload, r.error) for r in warc.read(spark, f"file://{tmp_path}").collect()}
     assert bytes(got[2][0]) == b"y" * 5000 and got[2][1] is None
     assert got[1][0] is None and "segment" in got[1][1]
     assert got[3] == (None, "digest differs")
 
 
+def test_ids_of_other_types_and_addresses_of_revisits(spark):
+    odd = ["a b", " x ", "é/%41", "10", "9", "", "line\r\nWARC-Type: y"]
+    rows = [(i, f"http://x/{n}", "p" * 1000) for n, i in enumerate(odd)] + [(None, "http://x/null", "p" * 1000)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = warc.round_trip(pages).collect()
+    last = max(odd)  # texts in their own order
+    assert sorted(((r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in got), key=repr) == sorted(((i, "response", None, 1000) if i == last else (i, "revisit", last, 1000) for i, *_ in rows), key=repr)
+    (record,) = warc.records_of("a", "u", None, "d" * 40, "b", "http://x/there", 0)
+    ((fields, _),) = warc.parse(record)
+    assert fields["warc-refers-to-target-uri"] == "http://x/there" and fields["warc-refers-to-date"] == warc.DATE
+
+
 def test_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.round_trip(pages).count() == 0
