@@ -76,8 +76,23 @@ def phases(blocks: dict[str, int], weights: dict[str, int]) -> list[tuple]:
     return made
 
 
-def mix(docs: DataFrame, *, weights: dict[str, int] | None = None, other: int = OTHER, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source", seed: int = 7, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``docs`` with ``mix_group``, ``mix_block`` (number in its group), ``mix_slot`` (from 0) and ``mix_position`` (from 0, without gaps between blocks of full size)."""
+def mix(docs: DataFrame, **options: object) -> DataFrame:
+    """``docs`` with ``mix_group``, ``mix_block`` (number in its group), ``mix_slot`` (from 0) and ``mix_position`` (from 0, without gaps between blocks of full size). Options: those of ``placed``."""
+    return placed(docs, **options)[0]
+
+
+def stream(docs: DataFrame, *, parts: int | None = None, **options: object) -> DataFrame:
+    """``mix`` with the rows in the order of their positions: partitions hold equal numbers of slots, one after another.
+
+    A slot names its partition, so texts aren't computed a second time for a sample of the order. ``parts``: as many as a shuffle has, unless given.
+    """
+    rows, slots = placed(docs, **options)
+    parts = max(1, min(slots, parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return rows.repartitionById(parts, (F.col("mix_slot") * parts / max(1, slots)).cast("int")).sortWithinPartitions("mix_position")
+
+
+def placed(docs: DataFrame, *, weights: dict[str, int] | None = None, other: int = OTHER, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source", seed: int = 7, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
+    """What ``mix`` returns, and the number of slots."""
     weights = dict(WEIGHTS if weights is None else weights)
     if min([other, *weights.values()]) < 1 or len(weights) > 1000 or (len(weights) + 1) * (sum(weights.values()) + other) > MAX_SLOTS:
         raise ValueError(f"weights must be whole numbers from 1, for at most 1000 sources; sources (and the others) times slots of a period may be {MAX_SLOTS}")
@@ -105,10 +120,12 @@ def mix(docs: DataFrame, *, weights: dict[str, int] | None = None, other: int =
     ranked = rows.withColumn("__within", within).join(starts, ["mix_group", "__bucket"]).withColumn("__rank", F.col("__before") + F.col("__within") - 1)
     blocks = {g: math.ceil(n / block_rows) for g, n in counts.items()}
     plan = phases(blocks, by_group)
+    slots = sum(blocks.values())  # each slot has a block
     schema = "mix_group string, __first long, __end long, __start long, __weight long, __period long, __slots array<long>"
     table = F.broadcast(spark.createDataFrame(plan, schema))  # at most a row for each two groups, its slots checked above
     block = F.floor(F.col("__rank") / block_rows)
-    placed = ranked.withColumn("mix_block", block).join(table, "mix_group").where("mix_block >= __first and mix_block < __end")
+    blocked = ranked.withColumn("mix_block", block).join(table, "mix_group").where("mix_block >= __first and mix_block < __end")
     k = F.col("mix_block") - F.col("__first")
     slot = F.col("__start") + F.floor(k / F.col("__weight")) * F.col("__period") + F.element_at("__slots", (F.pmod(k, F.col("__weight")) + 1).cast("int"))
-    return placed.withColumn("mix_slot", slot).withColumn("mix_position", slot * block_rows + F.pmod(F.col("__rank"), F.lit(block_rows))).select(*[F.col(f"`{c}`") for c in docs.columns], *ADDED).withColumnsRenamed({v: k for k, v in aside.items()})
+    done = blocked.withColumn("mix_slot", slot).withColumn("mix_position", slot * block_rows + F.pmod(F.col("__rank"), F.lit(block_rows))).select(*[F.col(f"`{c}`") for c in docs.columns], *ADDED)
+    return done.withColumnsRenamed({v: k for k, v in aside.items()}), slots

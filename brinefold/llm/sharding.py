@@ -70,4 +70,4 @@ def place(docs: DataFrame, *, key: str = "doc_id", shards: int | list[str] = SHA
     if len(names) > 65_536:
         raise ValueError("at most 65536 shards")
     table = F.broadcast(table_frame(docs.sparkSession, fill_table(names, size, turns)))
-    return docs.drop("shard").withColumn("slot", slot_of(F.col(f"`{key}`"), size)).join(table, "slot").select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("slot", "shard")], "slot", "shard")
+    return docs.drop("shard").withColumn("slot", slot_of(F.col(f"`{key}`"), size)).join(table, "slot").select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("slot", "shard")], "slot", "shard")
