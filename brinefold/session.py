@@ -31,6 +31,9 @@ from .plans.wire import compile_wire
 from .settings import Settings
 from .sources.store import Store, records_of
 
+#: Seconds between attempts to cancel the jobs of a request that is late.
+CANCEL_EVERY = 0.2
+
 
 @dataclass(frozen=True)
 class Context:
@@ -174,15 +177,17 @@ class Session:
         seconds = until - time.monotonic()
         if seconds <= 0:
             raise DeadlineExceeded("the deadline has passed")
-        tag, late = f"brinefold-{uuid.uuid4().hex}", threading.Event()
+        tag, done, late = f"brinefold-{uuid.uuid4().hex}", threading.Event(), threading.Event()
 
-        def stop() -> None:
-            late.set()
-            self.spark.sparkContext.cancelJobsWithTag(tag)
+        def watch() -> None:
+            if not done.wait(seconds):
+                late.set()
+            while not done.wait(CANCEL_EVERY):  # the work may be between two jobs, or start others
+                self.spark.sparkContext.cancelJobsWithTag(tag)
 
-        timer = threading.Timer(seconds, stop)
+        watcher = threading.Thread(target=watch, daemon=True)
         self.spark.sparkContext.addJobTag(tag)
-        timer.start()
+        watcher.start()
         try:
             made = work()
             if late.is_set():  # done, but not in time; a write that is sent again finds itself done
@@ -193,7 +198,8 @@ class Session:
                 raise DeadlineExceeded(f"the operation took over {seconds:.1f} s") from e
             raise
         finally:
-            timer.cancel()
+            done.set()
+            watcher.join()
             self.spark.sparkContext.removeJobTag(tag)
 
     def _read(self, plan: Compiled, layout: Layout, until: float) -> Result:

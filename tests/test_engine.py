@@ -1,6 +1,7 @@
 import dataclasses
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -461,6 +462,20 @@ def test_writes_keep_deadlines(make):
     assert len(read(session, layout, {"where": {"observed_at": DAY}}).data) == 1
 
 
+def test_late_queries_are_cancelled(spark):
+    layout = compile_schema("structured/demo/slow", Schema((Field("id", Kind("int64")), Field("at", Kind("utcTimestamp"))), ("id",), "at"), stored=False)
+    # hours of work
+    table = spark.range(0, 10**13, 1, 4).selectExpr("id", "1709596800000000000 + id % 86400 * 1000000000 as at")
+    session = Session(spark, [layout], Settings(root="file:///nowhere"), tables={layout.resource: table})
+    value = {"where": {"at": DAY}, "metrics": [{"name": "n", "function": "count"}, {"name": "most", "function": "max", "field": "id"}]}
+    began = time.time()
+    with pytest.raises(DeadlineExceeded):
+        session.execute(Request.of("structured.aggregate", layout.resource, value, context=Context(deadline=began + 4)))
+    assert time.time() - began < 15
+    assert not spark.sparkContext.statusTracker().getActiveJobsIds()
+    assert spark.range(3).count() == 3  # later work is not cancelled
+
+
 def test_cursors_of_another_session_or_layout(make):
     session, layout = make("evidence")
     write(session, layout, [point(i, 1.0) for i in range(4)])
