@@ -279,8 +279,11 @@ def alike(links: DataFrame, texts: DataFrame, words: int, similarity: float) ->
     """
     links = materialise(links.select("a", "b").distinct(), "candidates")
     wanted = materialise(links.select(F.col("a").alias("want")).union(links.select("b")).distinct(), "wanted")
-    known = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST_IDS else wanted
-    own = materialise(texts.join(known, F.col("id") == F.col("want"), "left_semi").select("id", "text").dropDuplicates(["id"]), "wanted-texts")
+    ids = wanted.count()
+    known = F.broadcast(wanted) if ids <= MAX_BROADCAST_IDS else wanted
+    own = materialise(texts.join(known, F.col("id") == F.col("want"), "left_semi").select("id", "text"), "wanted-texts")
+    if own.count() > ids:  # rows repeat
+        own = materialise(own.dropDuplicates(["id"]), "wanted-texts")
     sides = links.join(own.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(own.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
