@@ -225,6 +225,75 @@ def test_recall_by_similarity(spark):
     assert {b: sum(i + 1 not in kept for i in own) / len(own) for b, own in bands.items()} == {0: 0, 1: 1, 2: 1, 3: 1}
 
 
+def compared(monkeypatch):
+    """What each call of ``alike`` is given from here on."""
+    calls, real = [], simhash.alike
+
+    def alike_(links, *rest):
+        calls.append({(r.a, r.b) for r in links.select("a", "b").distinct().collect()})
+        return real(links, *rest)
+
+    monkeypatch.setattr(simhash, "alike", alike_)
+    return calls
+
+
+def edited(words, at):
+    return " ".join("edit" if i in at else w for i, w in enumerate(words))
+
+
+def test_deduplicate_begins_with_the_trie_join(spark, monkeypatch):
+    rng, texts = random.Random(3), []
+    for g in range(8):
+        words = [f"g{g}w{i}" for i in range(400)]
+        texts += [" ".join(words)] + [edited(words, [rng.randrange(400)]) for _ in range(5)]
+    texts += [" ".join([f"{k}{i}" for i in range(60)] + ["-"] * 200) for k in "ab"]
+    sets = [simhash.shingle_set(t.encode(), 5) for t in texts]
+    marks = [simhash.majority([own]) for own in sets]
+    docs = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "id long, text binary")
+    nodes = spark.createDataFrame(list(enumerate(marks)), "id long, fp long")
+    calls = compared(monkeypatch)
+    found = {tuple(sorted((r.a, r.b))) for r in simhash.fingerprint_links(nodes, docs, 5, 0.8).collect()}
+    apart = lambda a, b: bin((marks[a] ^ marks[b]) & (2**64 - 1)).count("1")
+    assert all(apart(a, b) <= simhash.BUDGET for a, b in calls[0])
+    assert len(found) >= 8 and all(jaccard(texts[a], texts[b]) >= 0.8 for a, b in found)
+    roots = brute_components(range(len(texts)), lambda a, b: (a, b) in found)
+    assert kept_of(spark, texts) == [*range(0, 48, 6), 48, 49]
+    numbers = {r.id: r.doc_id for r in spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("doc_id", F.xxhash64(F.lit(0), F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"))).alias("id")).collect()}
+    last = {(numbers[a], numbers[b]) for a, b in calls[-1]}
+    assert not [(a, b) for a, b in last if roots[a] == roots[b]], "what the trie connected is not compared again"
+
+
+def test_a_fringe_of_less_alike_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    rng, words = random.Random(8), [f"w{i}" for i in range(100)]
+    some = lambda n: rng.sample(range(5, 95, 5), n)
+    texts = [" ".join(words)] + [" ".join(f"x{d}" if i in at else w for i, w in enumerate(words)) for d in range(160) for at in [some(2 if d % 2 else 3)]]
+    calls = compared(monkeypatch)
+    near = {(a, b) for a in range(len(texts)) for b in range(a) if jaccard(texts[a], texts[b]) >= 0.8}
+    roots = brute_components(range(len(texts)), lambda a, b: (b, a) in near)
+    assert kept_of(spark, texts) == sorted(set(roots.values()))
+    assert sum(map(len, calls)) <= len(near) + 6 * len(texts)
+
+
+def test_sketches_rule_out_no_pair_that_is_alike(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SKETCH_LONGS", 8)
+    rng, sets, pairs, want = np.random.default_rng(6), [np.empty(0, dtype=np.uint64)] * 2, [(0, 1)], {(0, 1)}
+    for n in [1, 5, 60, 64, 65, 70, 128, 129, 140, 500, 513, 3000]:
+        for lost, more in [(0, 0), (n // 10, 0), (0, n // 4), (n // 5, 0), (n // 10, n // 10), (n // 2, n // 2), (n, n)]:
+            one = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+            two = np.concatenate([one[lost:], rng.integers(0, 1 << 64, more, dtype=np.uint64)])
+            sets += [one, two]
+            pairs.append((len(sets) - 2, len(sets) - 1))
+            if n - lost >= 0.8 * (n + more):
+                want.add(pairs[-1])
+    rows = [(i, len(own), i, simhash.parity_sketch(own).tolist()) for i, own in enumerate(sets)]
+    known = spark.createDataFrame(rows, "id long, n int, root long, sketch array<long>")
+    left = lambda k: {tuple(r) for r in simhash._unlinked(spark.createDataFrame(pairs, "a long, b long"), k, 0.8).collect()}
+    got = left(known)
+    assert want <= got
+    assert not [(a, b) for a, b in got if 60 <= len(sets[a]) <= 500 and not np.intersect1d(sets[a], sets[b]).size]
+    assert left(known.withColumn("root", F.lit(0))) == set()
+
+
 def test_query_runs(spark):
     from brinefold.llm.queries import QUERIES
 
