@@ -110,11 +110,11 @@ def shingle_set(text: bytes | None, words: int) -> np.ndarray:
 
 
 def parity_sketch(own: np.ndarray) -> np.ndarray:
-    """For each of about as many buckets as there are shingles whether their number in it is odd, as numbers of 64 bits.
+    """For each of two to four times as many buckets as there are shingles whether their number in it is odd, as numbers of 64 bits.
 
     Each shingle that only one of two sets has changes one bucket, so their sketches differ in at most as many bits as the sets differ in shingles.
     """
-    longs = min(SKETCH_LONGS, 1 << max(0, math.ceil(len(own) / 64) - 1).bit_length())
+    longs = min(SKETCH_LONGS, 1 << max(0, math.ceil(len(own) / 32) - 1).bit_length())
     odd = np.bincount((own & np.uint64(64 * longs - 1)).astype(np.int64), minlength=64 * longs) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
@@ -356,8 +356,8 @@ def _may_be_alike(similarity: float) -> F.Column:
     return (F.least(n, m) >= similarity * F.greatest(n, m) - SLACK) & (rest >= similarity / (1 + similarity) * (n + m) - SLACK)
 
 
-def _may_join(similarity: float) -> F.Column:
-    """Of rows ``a`` and ``b``: the sets are not connected yet, and their sketches differ in no more bits than sets so alike in shingles.
+def _sketches_allow(similarity: float) -> F.Column:
+    """Of rows ``a`` and ``b``: their sketches differ in no more bits than sets so alike can in shingles.
 
     The larger sketch is folded to the length of the smaller; beyond one fold, which sizes so alike do not need, nothing is ruled out.
     """
@@ -368,8 +368,13 @@ def _may_join(similarity: float) -> F.Column:
         half = F.floor(F.size(own) / 2).cast("int")
         return F.when(F.size(own) > F.size(other), odd(F.slice(own, 1, half), F.slice(own, half + 1, half))).otherwise(own)
 
-    differ = F.aggregate(odd(folded(x, y), folded(y, x)), F.lit(0), lambda sum_, p: sum_ + F.bit_count(p).cast("int"))
-    return (F.col("a.root") != F.col("b.root")) & (F.coalesce(differ, F.lit(0)) <= (1 - similarity) / (1 + similarity) * (F.col("a.n") + F.col("b.n")) + 1e-6)
+    differ = F.aggregate(odd(folded(x, y), folded(y, x)), F.lit(0), lambda n, p: n + F.bit_count(p).cast("int"))
+    return F.coalesce(differ, F.lit(0)) <= (1 - similarity) / (1 + similarity) * (F.col("a.n") + F.col("b.n")) + 1e-6
+
+
+def _may_join(similarity: float) -> F.Column:
+    """Of rows ``a`` and ``b``: nothing connects them yet, and their sketches allow that similarity."""
+    return (F.col("a.root") != F.col("b.root")) & _sketches_allow(similarity)
 
 
 def _crossed(left: DataFrame, right: DataFrame, keys: list[str], allowed: F.Column) -> DataFrame:
@@ -383,11 +388,11 @@ def _crossed(left: DataFrame, right: DataFrame, keys: list[str], allowed: F.Colu
     return side(left, "across", "down", "a").join(side(right, "down", "across", "b"), [*keys, "across", "down"]).where(allowed)
 
 
-def _unlinked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs`` ``(a, b)`` of ``sets`` (``id``, ``n``, ``root``, ``sketch``) that ``_may_join`` leaves. No text is moved."""
+def _possible(pairs: DataFrame, sets: DataFrame, allowed: F.Column) -> DataFrame:
+    """Those of ``pairs`` ``(a, b)`` of ``sets`` (``id``, ``n``, ``root``, ``sketch``) that are ``allowed``. No text is moved."""
     side = lambda name: sets.select(F.col("id").alias(f"{name}_id"), F.struct("id", "n", "root", "sketch").alias(name))
-    left = pairs.select(F.col("a").alias("one"), F.col("b").alias("two")).join(side("a"), F.col("one") == F.col("a_id"))
-    return left.join(side("b"), (F.col("two") == F.col("b_id")) & _may_join(similarity)).select("one", "two").toDF("a", "b")
+    left = pairs.select(F.col("a").alias("one"), F.col("b").alias("two")).distinct().join(side("a"), F.col("one") == F.col("a_id"))
+    return left.join(side("b"), (F.col("two") == F.col("b_id")) & allowed).select("one", "two").toDF("a", "b")
 
 
 def similar_links(sets: DataFrame, texts: DataFrame, words: int, similarity: float, *, crowd: int = CROWD, rounds: int = ROUNDS) -> DataFrame:
@@ -418,7 +423,7 @@ def similar_links(sets: DataFrame, texts: DataFrame, words: int, similarity: flo
         led = materialise(led.select("token", F.col("x.id").alias("leader"), F.col("x.n").alias("m"), "weight"), "leaders")
         met = materialise(lookup(live.drop("size"), led, "token", "weight").where("id <> leader"), "followers")
         near = met.where(F.least("n", "m") >= low * F.greatest("n", "m") - SLACK)
-        sims = alike(near.select(F.col("id").alias("a"), F.col("leader").alias("b")), texts, words, low)
+        sims = alike(_possible(near.select(F.col("id").alias("a"), F.col("leader").alias("b")), known, _sketches_allow(low)), texts, words, low)
         linked = F.col("sim") >= similarity - SLACK
         links.append(sims.where(linked).select("a", "b"))
         seen = met.join(sims.withColumnsRenamed({"a": "id", "b": "leader"}), ["id", "leader"], "left").select("token", "leader", "id", "n", "pos", "root", "sketch", "sim")
@@ -433,8 +438,7 @@ def similar_links(sets: DataFrame, texts: DataFrame, words: int, similarity: flo
         live = _ungrouped(rest.where(F.col("size") > crowd))
     else:
         pairs.append(_pairs(live.drop("size"), similarity, crowded=True))
-    open_ = _unlinked(reduce(DataFrame.union, pairs).distinct(), known, similarity)
-    found = alike(open_, texts, words, similarity).select("a", "b")
+    found = alike(_possible(reduce(DataFrame.union, pairs), known, _may_join(similarity)), texts, words, similarity).select("a", "b")
     for table in [known, sizes, keyed]:
         discard(table)
     return reduce(DataFrame.union, links, found)

@@ -287,7 +287,7 @@ def test_sketches_rule_out_no_pair_that_is_alike(spark, monkeypatch):
                 want.add(pairs[-1])
     rows = [(i, len(own), i, simhash.parity_sketch(own).tolist()) for i, own in enumerate(sets)]
     known = spark.createDataFrame(rows, "id long, n int, root long, sketch array<long>")
-    left = lambda k: {tuple(r) for r in simhash._unlinked(spark.createDataFrame(pairs, "a long, b long"), k, 0.8).collect()}
+    left = lambda k: {tuple(r) for r in simhash._possible(spark.createDataFrame(pairs, "a long, b long"), k, simhash._may_join(0.8)).collect()}
     got = left(known)
     assert want <= got
     assert not [(a, b) for a, b in got if 60 <= len(sets[a]) <= 500 and not np.intersect1d(sets[a], sets[b]).size]
