@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, private, with_row_key, without_rows
+from .common import in_small_batches, materialise, private, with_row_key, without_rows
 
 SAMPLE_ROWS = 4000
 BUCKETS = 1 << 15
@@ -195,6 +195,7 @@ def document_evidence(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return source.select("key", "text", "declared", "host", suffix_of(F.col("host").cast("string")).alias("suffix"))
 
 
+@in_small_batches
 def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", **names: str) -> DataFrame:
     """``docs`` without the rows whose language stays undetermined or unsure, each judged by its own text, declaration and source."""
     used = {"text_col": "text", "declared_col": "lang", "source_col": "source"} | names

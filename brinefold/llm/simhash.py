@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from .common import MAX_BROADCAST_IDS, connected_components, discard, hashable, lookup, materialise, private, with_row_key, without_rows
+from .common import MAX_BROADCAST_IDS, connected_components, discard, hashable, in_small_batches, lookup, materialise, private, with_row_key, without_rows
 
 BITS = 64
 SEED = 42
@@ -493,6 +493,7 @@ def _classes(marks: DataFrame, repeated: bool, max_broadcast: int = MAX_BROADCAS
     return materialise(classes.select("least.*").select(columns), "texts")
 
 
+@in_small_batches
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row, that of the smallest id, of each group of near-duplicates.
 

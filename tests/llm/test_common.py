@@ -3,7 +3,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from brinefold.llm import common
+from brinefold.llm import common, language, simhash
 
 
 def test_rows_go_and_not_ids(spark):
@@ -38,3 +38,46 @@ def test_shared_folder_is_read_from_the_session(spark):
         common.shared_dir(session(None, "local-cluster[2,1,1024]"))
     assert common.shared_dir(session(None, "local[2]")).startswith("file:///")
     assert common.shared_dir(spark) == common.shared_dir(spark)
+
+
+BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@pytest.mark.parametrize("own", [None, "300", "5000", "0"])
+def test_small_batches(spark, own):
+    def most():
+        def run(batches):
+            for batch in batches:
+                yield batch.from_pydict({"n": [batch.num_rows]})
+
+        return max(r.n for r in spark.range(0, 4000, 1, 1).mapInArrow(run, "n long").collect())
+
+    if own:
+        spark.conf.set(BATCHES, own)
+    try:
+        outside = most()
+        with common.small_batches(spark):
+            assert most() == min(int(own or 0) or common.BATCH_ROWS, common.BATCH_ROWS)
+        with pytest.raises(ZeroDivisionError), common.small_batches(spark):
+            1 / 0  # noqa: B018
+        assert spark.conf.get(BATCHES, None) == own and most() == outside
+    finally:
+        spark.conf.unset(BATCHES)
+
+
+def test_stages_with_python_send_small_batches(spark, monkeypatch):
+    """The pipeline's check ended for the memory that batches of 10,000 texts left behind in executors and their workers."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for module, stage in ((language, language.keep_identified), (simhash, simhash.deduplicate)):
+        seen = []
+
+        def write(df, label, real=common.materialise):
+            seen.append((label, int(spark.conf.get(BATCHES))))
+            return real(df, label)
+
+        for where in (module, common):
+            monkeypatch.setattr(where, "materialise", write)
+        kept = stage(docs)
+        assert "gone" in dict(seen) and {n for _, n in seen} == {common.BATCH_ROWS}
+        assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.undo()
