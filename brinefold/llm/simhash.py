@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from .common import MAX_BROADCAST_IDS, connected_components, discard, hashable, in_small_batches, lookup, materialise, private, with_row_key, without_rows
+from .common import MAX_BROADCAST_IDS, connected_components, discard, hashable, in_small_batches, lookup, materialise, private, with_row_key, without_rows, without_shuffle_files
 
 BITS = 64
 SEED = 42
@@ -218,7 +218,7 @@ def trie_links(nodes: DataFrame, budget: int, *, unit_cap: int = UNIT_CAP, direc
                 linked = root != ids
                 yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(root[linked])], names=["a", "b"])
 
-    out = None
+    out = written = None
     while True:
         sizes = keyed.groupBy("unit").agg(F.count("*").alias("size"), F.min("side").alias("least"), F.max("side").alias("most"))
         sizes = sizes.where("size > 1 and (most = 0 or least < most)").select("unit", "size")
@@ -227,6 +227,7 @@ def trie_links(nodes: DataFrame, budget: int, *, unit_cap: int = UNIT_CAP, direc
         links = materialise(units.select("items").mapInArrow(run, "a long, b long"), "unit-links")
         out = links if out is None else out.union(links)
         if sizes.where(F.col("size") > unit_cap).isEmpty():
+            discard(written)
             return out
         own = F.shiftrightunsigned(F.call_function("shiftleft", F.col("key"), F.col("depth")), BITS - SPLIT_BITS)
         masks = F.array(*[F.lit(m).cast("long") for m in range(1 << SPLIT_BITS) if bin(m).count("1") <= budget])
@@ -236,7 +237,9 @@ def trie_links(nodes: DataFrame, budget: int, *, unit_cap: int = UNIT_CAP, direc
         side = F.when(alone, 0).when(F.col("side") > 0, F.col("side")).when(F.col("own") < F.col("other"), 1).otherwise(2)
         big = big.withColumn("side", side)
         name = F.concat_ws(".", "unit", F.when(F.col("side") == 2, F.col("other")).otherwise(F.col("own")), F.when(F.col("side") == 2, F.col("own")).otherwise(F.col("other")), F.when(alone, F.lit("=")).otherwise(F.lit("x")))
-        keyed = materialise(big.select("id", (F.col("depth") + SPLIT_BITS).alias("depth"), "err", "side", name.alias("unit"), "key"), "units")
+        before, written = written, materialise(big.select("id", (F.col("depth") + SPLIT_BITS).alias("depth"), "err", "side", name.alias("unit"), "key"), "units")
+        discard(before)
+        keyed = written
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 3, budget: int = 2, unit_cap: int = UNIT_CAP) -> DataFrame:
@@ -377,13 +380,17 @@ def _may_join(similarity: float) -> F.Column:
     return (F.col("a.root") != F.col("b.root")) & _sketches_allow(similarity)
 
 
-def _crossed(left: DataFrame, right: DataFrame, keys: list[str], allowed: F.Column) -> DataFrame:
-    """Rows ``a`` of ``left`` beside rows ``b`` of ``right`` of equal ``keys`` where ``allowed``, in cells of about ``CELL`` rows of each, so that no key fills a task."""
+def _crossed(left: DataFrame, right: DataFrame, sketches: DataFrame, keys: list[str], allowed: F.Column) -> DataFrame:
+    """Rows ``a`` of ``left`` beside rows ``b`` of ``right`` of equal ``keys`` where ``allowed``, in cells of about ``CELL`` rows of each, so that no key fills a task.
+
+    Both get the ``sketch`` of their ``id`` from ``sketches``, and only rows that meet others do.
+    """
     chunks = lambda df, name: df.groupBy(*keys).agg(F.ceil(F.count("*") / CELL).cast("int").alias(name))
     cells = materialise(chunks(left, "across").join(chunks(right, "down"), keys), "cells")
 
     def side(df: DataFrame, own: str, other: str, name: str) -> DataFrame:
-        return df.join(cells, keys).select(*keys, F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other), F.struct(*df.columns).alias(name))
+        met = df.join(cells, keys).join(sketches, "id")
+        return met.select(*keys, F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other), F.struct(*df.columns, "sketch").alias(name))
 
     return side(left, "across", "down", "a").join(side(right, "down", "across", "b"), [*keys, "across", "down"]).where(allowed)
 
@@ -405,16 +412,21 @@ def similar_links(sets: DataFrame, texts: DataFrame, words: int, similarity: flo
     the origin of copies is. Texts alike to it are one group with it. Another text needs to be compared only with those of the group that
     are not nearer to the leader than to the text can be: distances of Jaccard keep the triangle inequality. The group then leaves, and of
     the rest the next one leads. After ``rounds`` of that, what is left is compared pair by pair, however much it is.
+
+    A text has as many rows in crowds as crowded shingles, so these rows hold numbers only; sketches stay in one table with a row for each text.
     """
     low = 2 * similarity - 1
     links = [fingerprint_links(sets.select("id", "fp"), texts, words, similarity)]
     groups = connected_components(links[0])
     known = materialise(sets.join(groups, F.col("id") == F.col("node"), "left").select("id", "n", F.coalesce("root", "id").alias("root"), "sketch"), "groups")
+    sketches = known.select("id", "sketch")
     keys = sets.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     sizes = materialise(keys.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "shingle-sizes")
     keyed = materialise(lookup(keys, sizes, "token", "size").select("id", "n", "pos", "token", "size"), "shingles")
     pairs = [_pairs(keyed.where(F.col("size") <= crowd).drop("size"), similarity)]
-    live = _ungrouped(keyed.where(F.col("size") > crowd).join(known.drop("n"), "id"))
+    live = _ungrouped(keyed.where(F.col("size") > crowd).join(known.select("id", "root"), "id"))
+    discard(sizes)
+    discard(keyed)
     for _ in range(rounds):
         if live.isEmpty():
             break
@@ -426,20 +438,22 @@ def similar_links(sets: DataFrame, texts: DataFrame, words: int, similarity: flo
         sims = alike(_possible(near.select(F.col("id").alias("a"), F.col("leader").alias("b")), known, _sketches_allow(low)), texts, words, low)
         linked = F.col("sim") >= similarity - SLACK
         links.append(sims.where(linked).select("a", "b"))
-        seen = met.join(sims.withColumnsRenamed({"a": "id", "b": "leader"}), ["id", "leader"], "left").select("token", "leader", "id", "n", "pos", "root", "sketch", "sim")
+        seen = met.join(sims.withColumnsRenamed({"a": "id", "b": "leader"}), ["id", "leader"], "left").select("token", "leader", "id", "n", "pos", "root", "sim")
         seen = materialise(seen, "compared")
         apart = F.col("a.sim") - F.col("b.sim") <= 1 - similarity + 1e-6
-        fringe = _crossed(seen.where(linked), seen.where(~linked), ["token", "leader"], apart & _may_be_alike(similarity) & _may_join(similarity))
+        fringe = _crossed(seen.where(linked), seen.where(~linked), sketches, ["token", "leader"], apart & _may_be_alike(similarity) & _may_join(similarity))
         pairs.append(materialise(fringe.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct(), "pairs"))
-        rest = seen.where(F.col("sim").isNull() | ~linked).select("id", "n", "pos", "root", "sketch", "token")
+        rest = seen.where(F.col("sim").isNull() | ~linked).select("id", "n", "pos", "root", "token")
         left = materialise(rest.groupBy("token").agg(F.count("*").alias("size")).where("size > 1"), "shingle-sizes")
-        rest = materialise(lookup(rest, left, "token", "size").select("id", "n", "pos", "root", "sketch", "token", "size"), "shingles")
+        rest = materialise(lookup(rest, left, "token", "size").select("id", "n", "pos", "root", "token", "size"), "shingles")
         pairs.append(_pairs(rest.where(F.col("size") <= crowd).drop("size"), similarity))
-        live = _ungrouped(rest.where(F.col("size") > crowd))
+        before, live = live, _ungrouped(rest.where(F.col("size") > crowd))
+        for table in (before, led, met, seen, left, rest):
+            discard(table)
     else:
-        pairs.append(_pairs(live.drop("size"), similarity, crowded=True))
+        pairs.append(_pairs(live.drop("size"), similarity, sketches))
     found = alike(_possible(reduce(DataFrame.union, pairs), known, _may_join(similarity)), texts, words, similarity).select("a", "b")
-    for table in [known, sizes, keyed]:
+    for table in (known, live, *pairs):
         discard(table)
     return reduce(DataFrame.union, links, found)
 
@@ -450,10 +464,10 @@ def _ungrouped(live: DataFrame) -> DataFrame:
     return materialise(live.join(spread, "token", "left_semi"), "crowds")
 
 
-def _pairs(keyed: DataFrame, similarity: float, crowded: bool = False) -> DataFrame:
-    """Pairs ``(a, b)`` of ids that share a shingle and may be alike. ``crowded``: a shingle may have any number of texts."""
-    if crowded:
-        found = _crossed(keyed, keyed, ["token"], (F.col("a.id") < F.col("b.id")) & _may_be_alike(similarity) & _may_join(similarity))
+def _pairs(keyed: DataFrame, similarity: float, sketches: DataFrame | None = None) -> DataFrame:
+    """Pairs ``(a, b)`` of ids that share a shingle and may be alike. With ``sketches`` a shingle may have any number of texts."""
+    if sketches is not None:
+        found = _crossed(keyed, keyed, sketches, ["token"], (F.col("a.id") < F.col("b.id")) & _may_be_alike(similarity) & _may_join(similarity))
     else:
         side = lambda name: keyed.select("token", F.struct("id", "n", "pos").alias(name))
         found = side("a").join(side("b"), "token").where((F.col("a.id") < F.col("b.id")) & _may_be_alike(similarity))
@@ -487,21 +501,16 @@ def _classes(marks: DataFrame, repeated: bool, max_broadcast: int = MAX_BROADCAS
     if not repeated:
         least = marks.groupBy("digest").agg(F.min(F.struct("row", "id")).alias("least"), F.count("*").alias("copies")).where("copies > 1").select("digest", F.col("least.id").alias("first"))
         others = materialise(marks.select("id", "digest").join(least, "digest").where("id <> first").select("id"), "copies")
-        if others.count() <= max_broadcast:
-            return materialise(marks.join(F.broadcast(others), "id", "left_anti").select(columns), "texts")
+        found = materialise(marks.join(F.broadcast(others), "id", "left_anti").select(columns), "texts") if others.count() <= max_broadcast else None
+        discard(others)
+        if found is not None:
+            return found
     classes = marks.groupBy("digest").agg(F.min(F.struct("row", *[c for c in columns if c != "row"])).alias("least"))
     return materialise(classes.select("least.*").select(columns), "texts")
 
 
-@in_small_batches
-def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one row, that of the smallest id, of each group of near-duplicates.
-
-    Groups are the components of all pairs of texts that are ``similarity`` alike. Texts of equal shingle sets are the same.
-    Rows are judged by their own text, whatever ids they share; of rows equal in id and text that stays whose other
-    columns' hash is least. Rows without an id stay. Ids may be of any type that sorts.
-    """
-    marked, key = with_row_key(docs, id_col, text_col)
+def _repeats(marked: DataFrame, key: str, text_col: str, words: int, similarity: float) -> tuple[DataFrame, bool]:
+    """``row`` of all but the smallest of each group of near-duplicates, in a written table; whether rows repeat. What else was written is deleted, but for tables of links."""
     source, marks, repeated = _numbered(marked, key, text_col, words, similarity)
     texts = _classes(marks, repeated)
     rows = materialise(marks.select("id", "row"), "rows")
@@ -509,9 +518,25 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     roots = connected_components(similar_links(texts.drop("row"), source, words, similarity))
     rooted = texts.join(roots, texts["id"] == roots["node"], "left").select("id", "row", F.coalesce("root", "id").alias("root"))
     kept = rooted.groupBy("root").agg(F.min(F.struct("row", "id")).alias("least")).select("least.id")
-    left = without_rows(marked, key, rows.join(kept, "id", "left_anti").select("row"))
+    gone = materialise(rows.join(kept, "id", "left_anti").select("row"), "repeats")
     discard(texts)
     discard(rows)
+    return gone, repeated
+
+
+@in_small_batches
+def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one row, that of the smallest id, of each group of near-duplicates.
+
+    Groups are the components of all pairs of texts that are ``similarity`` alike. Texts of equal shingle sets are the same.
+    Rows are judged by their own text, whatever ids they share; of rows equal in id and text that stays whose other
+    columns' hash is least. Rows without an id stay. Ids may be of any type that sorts.
+    """
+    marked, key = with_row_key(docs, id_col, text_col)
+    with without_shuffle_files(docs.sparkSession):
+        gone, repeated = _repeats(marked, key, text_col, words, similarity)
+    left = without_rows(marked, key, gone)
+    discard(gone)
     if repeated:
         rows = W.Window.partitionBy(key).orderBy(F.xxhash64(*[hashable(f) for f in docs.schema]))
         named = left.where(F.col(key)["id"].isNotNull()).withColumn(f"{key}n", F.row_number().over(rows)).where(f"{key}n = 1").drop(f"{key}n")

@@ -1,3 +1,4 @@
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -65,6 +66,20 @@ def test_small_batches(spark, own):
         spark.conf.unset(BATCHES)
 
 
+def test_queries_leave_no_shuffle_files(spark):
+    files = lambda: sum("shuffle_" in x for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n"))
+    df = spark.range(50_000).groupBy((F.col("id") % 20_011).alias("k")).agg(F.max("id").alias("m"))
+    with common.without_shuffle_files(spark):
+        before = files()
+        made = common.materialise(df, "test")
+        assert made.join(df, "k").count() == 20_011
+        end = time.time() + 20
+        while files() > before and time.time() < end:
+            time.sleep(0.1)
+        assert files() <= before
+    common.discard(made)
+
+
 def test_stages_with_python_send_small_batches(spark, monkeypatch):
     """The pipeline's check ended for the memory that batches of 10,000 texts left behind in executors and their workers."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
